@@ -51,7 +51,8 @@ def insert_new(new: DataFrame, stored: DataFrame, keys: Sequence[str], order: Or
     A missing key value is the empty one, so all such rows share one key.
     """
     filled = new.na.fill("", subset=list(keys))
-    return new_only(first_by(filled, keys, order), stored.na.fill("", subset=list(keys)), keys)
+    seen = already_stored(filled, stored.na.fill("", subset=list(keys)), keys)
+    return first_by(filled, keys, order).join(seen, list(keys), "left_anti")
 
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:

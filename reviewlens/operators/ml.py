@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.ml.functions import vector_to_array
@@ -34,21 +34,25 @@ def train(
 ) -> PipelineModel:
     """Fit on the weakly labelled reviews.
 
-    MLlib caches the feature vectors and sums gradients in a tree; the driver holds the document
-    frequencies and the coefficients, both of fixed size.
+    The term counts are computed once and kept for both fits. Gradients are summed in a tree; the
+    driver holds the document frequencies and the coefficients, both of fixed size.
     """
     remover = StopWordsRemover(inputCol="words", outputCol="kept")
     if stopwords is not None:
         remover = remover.setStopWords(list(stopwords))
-    stages = [
+    to_counts = [
         Tokenizer(inputCol="text", outputCol="words"),
         remover,
         HashingTF(inputCol="kept", outputCol="tf", numFeatures=FEATURES),
-        IDF(inputCol="tf", outputCol="features"),
-        LogisticRegression(maxIter=max_iter, regParam=reg_param),
     ]
     rows = _with_text(weak_label(reviews)).select("text", F.col("label").cast("double").alias("label"))
-    return Pipeline(stages=stages).fit(rows)
+    term_counts = PipelineModel(to_counts).transform(rows).select("label", "tf").persist()
+    try:
+        idf = IDF(inputCol="tf", outputCol="features").fit(term_counts)
+        regression = LogisticRegression(maxIter=max_iter, regParam=reg_param).fit(idf.transform(term_counts))
+    finally:
+        term_counts.unpersist()
+    return PipelineModel([*to_counts, idf, regression])
 
 
 def predict(model: PipelineModel, reviews: DataFrame) -> DataFrame:

@@ -72,7 +72,8 @@ def score_column(
             results = [r for i in range(0, len(texts), batch) for r in _score_batch(score, texts[i : i + batch])]
             yield pd.DataFrame(results, columns=["pred", "proba", "status"]).astype({"pred": "Int32"})
 
-    return score_texts(text)
+    # Declared non-deterministic so that a filter on the result does not run the model once more.
+    return score_texts.asNondeterministic()(text)
 
 
 def score_with(

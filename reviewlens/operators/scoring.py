@@ -8,6 +8,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewlens.functions import confidence
+from reviewlens.operators.evaluate import computed_once
 from reviewlens.schema import V1_UNSCORED, V1_UNSCORED_CONFIDENCE, V2_RULES, RuleSpec, Verdict
 
 SCORE_COLUMNS = ("pred_label", "pred_label_vn", "proba", "confidence")
@@ -58,21 +59,21 @@ def score_rules(reviews: DataFrame, spec: RuleSpec = V2_RULES) -> DataFrame:
     A good rating or more positive than negative words is positive; otherwise a bad rating or more
     negative than positive words is negative; the rest is neutral. A missing rating counts as the
     default. A good rating settles the verdict alone, so the content of such rows is neither
-    lower-cased nor searched: most reviews carry four or five stars. Each step is its own
-    projection because Catalyst keeps a value that several expressions use in the lower one.
+    lower-cased nor searched: most reviews carry four or five stars. The lower-cased text has its
+    own projection because Catalyst keeps a value that several expressions use in the lower one.
     """
     rating = F.coalesce("rating", F.lit(spec.default_rating))
     undecided = rating < spec.good_rating
     lowered = reviews.withColumn("_lowered", F.when(undecided, F.lower(F.coalesce("content", F.lit("")))))
     balance = _hits(F.col("_lowered"), spec.positive_words) - _hits(F.col("_lowered"), spec.negative_words)
-    weighed = lowered.withColumn("_lean", F.when(undecided, balance).otherwise(1))
+    weighed = computed_once(lowered, "_lean", F.when(undecided, balance).otherwise(1)).drop("_lowered")
     lean = F.col("_lean")
     verdict = (
         F.when(lean > 0, _verdict(spec.positive))
         .when((rating <= spec.bad_rating) | (lean < 0), _verdict(spec.negative))
         .otherwise(_verdict(spec.neutral))
     )
-    return _with_score(weighed, verdict).drop("_lowered", "_lean")
+    return _with_score(weighed, verdict).drop("_lean")
 
 
 def score_rating(reviews: DataFrame, spec: RuleSpec = V2_RULES) -> DataFrame:

@@ -171,9 +171,8 @@ def shown(predictions_: DataFrame) -> DataFrame:
 
 @query("upsert_latest", UPSERTED)
 def upsert_latest(spark, sf_dir):
-    stored = KeyedTable(spark, scratch_path(spark, "pred"), PREDICTION, ["review_id", "model"], compact_after=3)
-    stored.upsert(predictions(spark, sf_dir).withColumn("ts", F.lit(0)))
-    stored.upsert(arrival_predictions(spark, sf_dir))
+    stored = KeyedTable(spark, scratch_path(spark, "pred"), PREDICTION, ["review_id", "model"], compact_after=2)
+    stored.upsert(predictions(spark, sf_dir).withColumn("ts", F.lit(0)), unique=True)
     stored.upsert(arrival_predictions(spark, sf_dir))
     return shown(stored.read())
 

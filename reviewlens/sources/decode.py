@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reviewlens.operators.evaluate import computed_once
 from reviewlens.schema import REVIEW
 
 INTEGER_TYPES = ("BIGINT", "DECIMAL(1,0)", "DECIMAL(2,0)")
@@ -21,7 +22,7 @@ def _type_of(path: str) -> Column:
 def _parse(messages: DataFrame, value_col: str) -> DataFrame:
     # Parsed inside a list, because a lone value would be accepted with any text following it.
     wrapped = F.concat(F.lit("["), F.col(value_col), F.lit("]"))
-    return messages.withColumn("_json", F.try_parse_json(wrapped))
+    return computed_once(messages, "_json", F.try_parse_json(wrapped))
 
 
 def decode_reviews(messages: DataFrame, value_col: str = "value") -> DataFrame:

@@ -147,17 +147,18 @@ class KeyedTable:
         self._commit(committed)
         return committed
 
-    def upsert(self, changes: DataFrame, batch: Batch | None = None) -> bool:
+    def upsert(self, changes: DataFrame, batch: Batch | None = None, unique: bool = False) -> bool:
         """Apply ``changes``, last write wins. ``batch`` is (stream name, batch id).
 
-        Returns False, and changes nothing, if the batch had been applied before.
+        ``unique`` says that ``changes`` has one row per key, which saves a shuffle. Returns False,
+        and changes nothing, if the batch had been applied before.
         """
         if self.order is None:
             raise ValueError("this table has no order of writes")
         with self._lock:
             if self._applied(self.manifest(), batch):
                 return False
-            self._store(last_by(changes, self.keys, self.order), batch)
+            self._store(changes if unique else last_by(changes, self.keys, self.order), batch)
             return True
 
     def insert(self, new: DataFrame, order: Sequence[Column | str], batch: Batch | None = None) -> DataFrame:

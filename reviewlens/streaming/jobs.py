@@ -11,6 +11,7 @@ import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -43,7 +44,10 @@ def trigger_opts(
 
 @contextmanager
 def _cached(df: DataFrame) -> Iterator[DataFrame]:
+    """Compute a micro-batch once. Its true size is known from then on, so Spark broadcasts its
+    keys to a big table only if they are small."""
     df.persist()
+    df.count()
     try:
         yield df
     finally:
@@ -193,16 +197,18 @@ def burst_stream(
         if state.hasTimedOut:
             state.remove()
             return
+        rows = pd.concat(list(frames)).sort_values(["ts", "review_id"])
         past = list(state.get[0]) if state.exists else []
-        found = []
-        for row in pd.concat(list(frames)).sort_values(["ts", "review_id"]).itertuples():
-            past.append(int(row.ts))
-            if len(past) >= n and past[-1] - past[-n] < within_seconds:
-                found.append((key[0], row.review_id, past[-1], past[-n]))
-            past = past[-(n - 1):]
-        state.update((past,))
-        state.setTimeoutTimestamp(max((past[-1] + within_seconds) * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(found, columns=["product_id", "review_id", "ts", "burst_start"])
+        times = np.concatenate([np.array(past, dtype="int64"), rows["ts"].to_numpy("int64")])
+        # Row i of the batch is times[len(past) + i]; its burst began n - 1 entries before.
+        first = max(0, n - 1 - len(past))
+        starts = times[len(past) + first - (n - 1) : len(times) - (n - 1)]
+        found = rows.iloc[first:].assign(product_id=key[0], burst_start=starts)
+        recent = times[-(n - 1):].tolist()
+        state.update((recent,))
+        state.setTimeoutTimestamp(max((recent[-1] + within_seconds) * 1000, state.getCurrentWatermarkMs() + 1))
+        found = found[found["ts"] - found["burst_start"] < within_seconds]
+        yield found[["product_id", "review_id", "ts", "burst_start"]]
 
     negatives = (
         predictions.filter(F.col("pred_label_vn") == label)
