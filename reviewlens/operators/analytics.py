@@ -44,21 +44,20 @@ def snapshot(reviews: DataFrame, predictions: DataFrame, as_of: datetime) -> Dat
     Each table is read once; the lists have one entry per model or platform, a handful.
     """
 
-    def summary(df: DataFrame, key: str) -> DataFrame:
+    def summary(df: DataFrame, key: str) -> Column:
         groups = df.groupBy(F.coalesce(F.col(key), F.lit("")).alias("k")).agg(_n())
         entry = F.concat("k", F.lit("="), F.col("n").cast("string"))
-        return groups.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-            F.array_join(F.array_sort(F.collect_list(entry)), ",").alias("listing"),
-        )
+        total = F.coalesce(F.sum("n"), F.lit(0)).alias("total")
+        listing = F.array_join(F.array_sort(F.collect_list(entry)), ",").alias("listing")
+        return groups.agg(total, listing).select(F.struct("total", "listing")).scalar()
 
     raw, pred = summary(reviews, "platform"), summary(predictions, "model")
     stamp = int(as_of.replace(tzinfo=as_of.tzinfo or timezone.utc).timestamp())
     return reviews.sparkSession.range(1).select(
-        raw.select("total").scalar().alias("raw"),
-        pred.select("total").scalar().alias("pred"),
-        pred.select("listing").scalar().alias("by_model"),
-        raw.select("listing").scalar().alias("by_platform"),
+        raw["total"].alias("raw"),
+        pred["total"].alias("pred"),
+        pred["listing"].alias("by_model"),
+        raw["listing"].alias("by_platform"),
         F.lit(stamp).cast("bigint").alias("ts"),
     )
 

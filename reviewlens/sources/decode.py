@@ -33,13 +33,13 @@ def decode_reviews(messages: DataFrame, value_col: str = "value") -> DataFrame:
     missing content is an empty text, which the length filter drops.
     """
     parsed = _parse(messages, value_col)
-    shape = F.schema_of_variant("_json")
+    only = F.try_variant_get("_json", "$[0]", "variant")
+    second = F.try_variant_get("_json", "$[1]", "variant")
     content_type, rating_type = _type_of("content"), _type_of("rating")
     whole = rating_type.isin(*INTEGER_TYPES)
     reason = (
-        F.when(F.col("_json").isNull(), "malformed")
-        .when(~F.schema_of_variant(F.try_variant_get("_json", "$[0]", "variant")).startswith("OBJECT<"), "not_object")
-        .when(F.try_variant_get("_json", "$[1]", "variant").isNotNull() | shape.isNull(), "malformed")
+        F.when(only.isNull() | second.isNotNull(), "malformed")
+        .when(~F.schema_of_variant(only).startswith("OBJECT<"), "not_object")
         .when(content_type != "STRING", "bad_content")
         .when(rating_type == "VOID", "null_rating")
         .when(rating_type.isNotNull() & ~whole, "bad_rating")

@@ -121,12 +121,20 @@ class KeyedTable:
 
     # writing
 
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def _stored_near(self, rows: DataFrame) -> DataFrame:
+        """The live rows of the buckets that ``rows`` fall into: a small batch reads few of them."""
+        touched = rows.select(self._bucket().cast("string").alias("b")).distinct().collect()
+        live = self.manifest()["buckets"]
+        return self._live({r.b: live[r.b] for r in touched if r.b in live}).drop(VERSION)
+
     def _write(self, rows: DataFrame, version: int) -> dict[str, list[str]]:
         """Write rows under a fresh folder; returns the part per bucket."""
         part = f"{version:012d}-{uuid.uuid4().hex[:8]}"
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
         # Rebalancing gives each bucket its own tasks, few files, and splits a bucket that is too big.
-        placed = rows.withColumn(BUCKET, bucket).hint("rebalance", F.col(BUCKET))
+        placed = rows.withColumn(BUCKET, self._bucket()).hint("rebalance", F.col(BUCKET))
         placed.write.partitionBy(BUCKET).parquet(f"{self.path}/data/{part}")
         names = (s.getPath().getName() for s in self._fs.listStatus(self._file(f"data/{part}")))
         return {name.split("=", 1)[1]: [part] for name in names if name.startswith(f"{BUCKET}=")}
@@ -168,7 +176,9 @@ class KeyedTable:
         """
         with self._lock:
             if not self._applied(self.manifest(), batch):
-                committed = self._store(insert_new(new, self.read(), self.keys, order), batch)
+                filled = new.na.fill("", subset=self.keys)
+                fresh = insert_new(filled, self._stored_near(filled), self.keys, order)
+                committed = self._store(fresh, batch)
                 return self._load(committed["added"]).drop(VERSION)
             for version in reversed(self.versions()):
                 manifest = self.manifest(version)
