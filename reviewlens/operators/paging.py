@@ -78,12 +78,18 @@ def sample_k(df: DataFrame, k: int, seed: int | str, key: str = "review_id", rep
     return df.orderBy(F.md5(F.concat(F.col(key), F.lit(str(seed)))), F.col(key)).limit(k)
 
 
-def assign_batches(df: DataFrame, key: str = "review_id", size: int = 100, buckets: int = 64) -> DataFrame:
-    """Number rows into scoring batches of at most ``size``: ``bucket`` and ``batch_no`` inside it.
+def assign_batches(df: DataFrame, key: str = "review_id", size: int = 100, buckets: int | None = None) -> DataFrame:
+    """Number rows, in the order of their unique key, into scoring batches of ``size``.
 
-    Rows are spread over ``buckets`` by a hash of their unique key; choose the number so that one
-    bucket fits a task. No window spans the whole table.
+    By default ``batch_no`` counts through the whole frame and only the last batch is short; pass
+    just the columns needed, since the numbering writes them to the checkpoint. With ``buckets``,
+    rows are spread by a hash of the key and numbered inside their ``bucket`` without any global
+    order; choose the number so that one bucket fits a task.
     """
+    if buckets is None:
+        numbered = number_rows(df, [F.asc(key)])
+        batch_no = F.floor(F.col("position") / size).cast("bigint")
+        return numbered.withColumn("bucket", F.lit(0).cast("bigint")).withColumn("batch_no", batch_no).drop("position")
     bucket = F.conv(F.substring(F.md5(F.col(key)), 1, 8), 16, 10).cast("long") % buckets
     window = Window.partitionBy("bucket").orderBy(key)
     batch_no = F.floor((F.row_number().over(window) - 1) / size).cast("bigint")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reviewlens.functions import abbrev_id, ellipsize, format_ts, rating_badge
 from reviewlens.operators.paging import newest
 from reviewlens.schema import PREDICTION_DISPLAY, REVIEW_DISPLAY
+from reviewlens.session import ensure_checkpoint_dir
 
 
 def _or(name: str, default: str) -> Column:
@@ -82,12 +83,18 @@ def pred_with_raw(predictions: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
+def _log_columns(predictions: DataFrame) -> DataFrame:
+    return predictions.select("review_id", "product_id", "category_name", "pred_label_vn", "model", "ts")
+
+
 def latest_predictions(predictions: DataFrame, reviews: DataFrame, n: int = 10) -> DataFrame:
     """Log of the newest predictions, enriched from raw.
 
     Only ``n`` rows reach the join, so they are the broadcast side and raw is scanned, not shuffled.
+    They are needed twice, hence checkpointed: the predictions are read once.
     """
-    rows = newest(predictions, n, [F.desc("ts"), F.asc("review_id"), F.asc("model")])
+    ensure_checkpoint_dir(predictions.sparkSession)
+    rows = newest(_log_columns(predictions), n, [F.desc("ts"), F.asc("review_id"), F.asc("model")]).checkpoint()
     wanted = F.broadcast(rows.select("review_id").distinct())
     raw = reviews.join(wanted, "review_id", "left_semi")
     return pred_with_raw(rows, raw).select(

@@ -176,3 +176,16 @@ FROM (SELECT bucket, batch_no, count(*) AS n FROM batched GROUP BY bucket, batch
 )
 def batch_count(spark, sf_dir):
     return P.batch_count(P.assign_batches(raw(spark, sf_dir).select("review_id"), buckets=8))
+
+
+@query(
+    "assign_batches_in_order",
+    on_raw("""
+SELECT review_id, CAST(floor((row_number() OVER (ORDER BY review_id) - 1) / 100) AS BIGINT) AS batch_no,
+  CAST(ceil((SELECT count(*) FROM raw) / 100.0) AS BIGINT) AS total_batches
+FROM raw"""),
+)
+def assign_batches_in_order(spark, sf_dir):
+    batched = P.assign_batches(raw(spark, sf_dir).select("review_id"))
+    total = P.batch_count(batched).select("total_batches").scalar()
+    return batched.select("review_id", "batch_no", total.alias("total_batches"))

@@ -6,9 +6,10 @@ manifest, so they see all of a write or none of it, and no file in use is ever c
 also records the last micro-batch of each stream it contains, so that a batch repeated after a
 failure is recognised.
 
-An upsert appends its (small) batch to the buckets it touches instead of rewriting them. Reading
-keeps the last write per key in the buckets that have several parts. The upsert that brings a
-bucket to ``compact_after`` parts rewrites that bucket as one part.
+A write appends its (small) batch to the buckets it touches instead of rewriting them. Reading
+keeps the last write per key in the buckets that have several parts. A write that brings a bucket
+to ``compact_after`` parts of the same level merges those into one part of the next level, so a row
+is rewritten a logarithmic number of times, however small the batches are.
 """
 
 from __future__ import annotations
@@ -53,6 +54,8 @@ class KeyedTable:
         compact_after: int = 8,
     ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        if compact_after < 2:
+            raise ValueError("compact_after must be at least 2")
         self.keys, self.order = list(keys), None if order is None else list(order)
         self.buckets, self.compact_after = buckets, compact_after
         self._jvm = spark._jvm
@@ -130,9 +133,9 @@ class KeyedTable:
         live = self.manifest()["buckets"]
         return self._live({r.b: live[r.b] for r in touched if r.b in live}).drop(VERSION)
 
-    def _write(self, rows: DataFrame, version: int) -> dict[str, list[str]]:
+    def _write(self, rows: DataFrame, version: int, level: int = 0) -> dict[str, list[str]]:
         """Write rows under a fresh folder; returns the part per bucket."""
-        part = f"{version:012d}-{uuid.uuid4().hex[:8]}"
+        part = f"{version:012d}-{uuid.uuid4().hex[:8]}-L{level}"
         # Rebalancing gives each bucket its own tasks, few files, and splits a bucket that is too big.
         placed = rows.withColumn(BUCKET, self._bucket()).hint("rebalance", F.col(BUCKET))
         placed.write.partitionBy(BUCKET).parquet(f"{self.path}/data/{part}")
@@ -147,14 +150,23 @@ class KeyedTable:
         added = self._write(rows.select(*columns, F.lit(version).cast("bigint").alias(VERSION)), version)
         for bucket, parts in added.items():
             buckets[bucket] = buckets.get(bucket, []) + parts
-        full = {bucket: buckets[bucket] for bucket in added if len(buckets[bucket]) >= self.compact_after}
-        if full:
-            buckets.update(self._write(self._live(full), version))
+        self._compact(buckets, list(added), version)
         batches = manifest["batches"] | ({batch[0]: batch[1]} if batch else {})
         committed = {"version": version, "buckets": buckets, "added": added, "batches": batches}
         self._commit(committed)
         return committed
 
+    def _compact(self, buckets: dict[str, list[str]], touched: list[str], version: int, level: int = 0) -> None:
+        """Merge the parts of ``level`` of the buckets that have enough of them, then go one level up."""
+        ripe = {bucket: [p for p in buckets[bucket] if p.endswith(f"-L{level}")] for bucket in touched}
+        ripe = {bucket: parts for bucket, parts in ripe.items() if len(parts) >= self.compact_after}
+        if not ripe:
+            return
+        merged = self._write(self._live(ripe), version, level + 1)
+        for bucket, parts in ripe.items():
+            buckets[bucket] = [p for p in buckets[bucket] if p not in parts] + merged.get(bucket, [])
+        self._compact(buckets, list(ripe), version, level + 1)
+
     def upsert(self, changes: DataFrame, batch: Batch | None = None, unique: bool = False) -> bool:
         """Apply ``changes``, last write wins. ``batch`` is (stream name, batch id).
 

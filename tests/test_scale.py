@@ -62,6 +62,10 @@ def test_batches_cover_all_rows_within_size(spark):
     batched = P.assign_batches(df, size=30, buckets=4)
     sizes = [r["count"] for r in batched.groupBy("bucket", "batch_no").count().collect()]
     assert sum(sizes) == 1000 and max(sizes) <= 30
+    ordered = P.assign_batches(df, size=30)
+    sizes = [r["count"] for r in ordered.groupBy("batch_no").count().orderBy("batch_no").collect()]
+    assert sizes == [30] * 33 + [10]
+    assert tuple(P.batch_count(ordered).first()) == (34, 1000)
     assert rows(P.sample_k(df, 10, 1)) == rows(P.sample_k(df.repartition(7), 10, 1))
     assert P.sample_k(df, 10, 1, repeatable=False).count() == 10
 

@@ -173,6 +173,22 @@ def test_table_append_clear_and_conflict(spark, tmp_path):
     assert table.read().count() == 5
 
 
+def test_compaction_keeps_the_last_write(spark, tmp_path):
+    table = predictions_table(spark, tmp_path, compact_after=2)
+    empty = table.read().limit(0)
+    for n in range(7):
+        change = spark.range(3).select(
+            F.col("id").cast("string").alias("review_id"), F.lit("m").alias("model"),
+            F.lit(n).alias("pred_label"), F.lit(1 if n % 2 else 2).cast("bigint").alias("ts"),
+        )
+        table.upsert(empty.unionByName(change, allowMissingColumns=True))
+    # ts decides first, then the later write: batches 0, 2, 4, 6 have ts 2.
+    assert state(table) == [("0", 6, 2), ("1", 6, 2), ("2", 6, 2)]
+    parts = [p for names in table.manifest()["buckets"].values() for p in names]
+    assert max(len(names) for names in table.manifest()["buckets"].values()) <= 3
+    assert {p.rsplit("-", 1)[1] for p in parts} == {"L0", "L1", "L2"}
+
+
 def test_run_all_restarts_a_job_that_dies(spark, tmp_path):
     src, table = land(tmp_path / "src"), predictions_table(spark, tmp_path)
     starts = []
