@@ -188,34 +188,43 @@ def burst_stream(
 ) -> DataFrame:
     """The streaming form of ``negative_burst``, per product.
 
-    The state of a product is its last ``n - 1`` times, and is dropped once the watermark has
-    passed the last one by ``within_seconds``. Rows of a micro-batch are put in time order first;
-    rows behind the watermark are dropped.
+    As there, a negative goes to its own time slice of ``within_seconds`` and to the next, so that a
+    group is one product in two slices, however much of the stream that product makes up. Its state
+    is the last ``n - 1`` times, dropped once the watermark has passed the slice. Rows of a
+    micro-batch are put in time order first; rows behind the watermark are dropped.
     """
 
+    if n < 2:
+        raise ValueError("a burst has at least two reviews")
+
     def detect(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(frames)).sort_values(["ts", "review_id"])
+        product, time_slice = key[0], int(key[1])
+        rows = pd.concat(list(frames))
+        rows = rows.iloc[np.lexsort((rows["review_id"], rows["ts"]))]
         past = list(state.get[0]) if state.exists else []
         times = np.concatenate([np.array(past, dtype="int64"), rows["ts"].to_numpy("int64")])
+        state.update((times[-(n - 1):].tolist(),))
+        state.setTimeoutTimestamp(max((time_slice + 1) * within_seconds * 1000, state.getCurrentWatermarkMs() + 1))
         # Row i of the batch is times[len(past) + i]; its burst began n - 1 entries before.
         first = max(0, n - 1 - len(past))
         starts = times[len(past) + first - (n - 1) : len(times) - (n - 1)]
-        found = rows.iloc[first:].assign(product_id=key[0], burst_start=starts)
-        recent = times[-(n - 1):].tolist()
-        state.update((recent,))
-        state.setTimeoutTimestamp(max((recent[-1] + within_seconds) * 1000, state.getCurrentWatermarkMs() + 1))
-        found = found[found["ts"] - found["burst_start"] < within_seconds]
-        yield found[["product_id", "review_id", "ts", "burst_start"]]
+        ends = rows["ts"].to_numpy()[first:]
+        burst = (rows["own"].to_numpy()[first:] == time_slice) & (ends - starts < within_seconds)
+        if burst.any():
+            found = {"review_id": rows["review_id"].to_numpy()[first:][burst], "ts": ends[burst]}
+            yield pd.DataFrame({"product_id": key[0], **found, "burst_start": starts[burst]})
 
     negatives = (
         predictions.filter(F.col("pred_label_vn") == label)
         .select("product_id", "review_id", "ts", F.timestamp_seconds("ts").alias("event_time"))
         .withWatermark("event_time", delay)
+        .withColumn("own", F.floor(F.col("ts") / within_seconds))
+        .withColumn("slice", F.explode(F.array(F.col("own"), F.col("own") + 1)))
     )
-    return negatives.groupBy("product_id").applyInPandasWithState(
+    return negatives.groupBy("product_id", "slice").applyInPandasWithState(
         detect, BURST, "past array<bigint>", "append", GroupStateTimeout.EventTimeTimeout
     )
 
