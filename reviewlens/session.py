@@ -28,6 +28,10 @@ def build_session(app: str = "reviewlens", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+# Folders of local sessions that name none, by application.
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, named by ``spark.checkpoint.dir``.
 
@@ -38,9 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="reviewlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="reviewlens-")
+    return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

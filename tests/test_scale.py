@@ -1,7 +1,9 @@
 """Hot keys, deep pages and plan shapes."""
 
 import random
+from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -12,10 +14,9 @@ from reviewlens.operators.models import lexicon_scorer, resolve_failures, score_
 from reviewlens.operators.scoring import score_rules
 from reviewlens.plans.catalog import all_queries
 from reviewlens.plans.data import arrivals
+from reviewlens.session import scratch_path, shared_dir
 from reviewlens.sources.decode import decode_reviews, encode, good
 
-from datetime import datetime
-
 
 def plan(df):
     return df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
@@ -95,6 +96,23 @@ def test_label_queries_shuffle_no_text(spark, sf_dir):
     assert "content#" not in window
 
 
+def test_shared_folder_comes_from_the_session(spark):
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(named + "/reviewlens/x-")
+
+    class Context:
+        master, applicationId = "local[2]", "app"
+
+    class Unset:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+        sparkContext = Context
+
+    assert shared_dir(Unset) == shared_dir(Unset)
+    Context.master = "spark://host"
+    with pytest.raises(RuntimeError):
+        shared_dir(Unset)
+
+
 def test_no_query_plans_a_cross_join(spark, sf_dir):
     for name in ("table_counts", "status_snapshot", "apply_rules", "page_reviews", "matched_products", "product_search"):
         text = plan(all_queries()[name](spark, sf_dir))
