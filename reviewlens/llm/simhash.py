@@ -52,7 +52,8 @@ def planes_of(values: np.ndarray) -> np.ndarray:
     padded = np.zeros(n, np.uint64)
     padded[: len(values)] = values
     bits = np.unpackbits(padded.view(np.uint8).reshape(n, 8), axis=1, bitorder="little")
-    return np.packbits(bits.T, axis=1, bitorder="little").view(np.uint64)
+    packed = np.packbits(bits.T, axis=1, bitorder="little")
+    return np.ascontiguousarray(packed).view(np.uint64)
 
 
 EVERY = np.uint64(np.iinfo(np.uint64).max)
@@ -92,7 +93,7 @@ def close_lanes(planes: np.ndarray, ones: np.ndarray, n: int, radius: int) -> np
 
 def lanes(words: np.ndarray, n: int) -> np.ndarray:
     """The bits of the last axis as booleans, the first ``n`` of each row."""
-    return np.unpackbits(words.view(np.uint8), axis=-1, bitorder="little")[..., :n].astype(bool)
+    return np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=-1, bitorder="little")[..., :n].astype(bool)
 
 
 def near_pairs(values: np.ndarray, group: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
