@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField
+from pyspark.sql.types import BinaryType, DoubleType, StringType, StructField
 
 from reviewlens.llm.common import add_columns
 
@@ -16,6 +16,8 @@ from reviewlens.llm.common import add_columns
 ORDERS, SLOTS, ROWS, BLOCK = (1, 2, 3, 4), 1 << 14, 128, 1 << 18
 #: Letters fold to lower case; other ASCII characters all count as one break.
 FOLD = bytes(b | 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
+#: Parts that the labelled rows of a language are thinned in.
+PARTS = 32
 UNDETERMINED = "und"
 
 
@@ -70,8 +72,11 @@ def picked(docs: DataFrame, id_col: str, lang: str, per_lang: int, total: int) -
     """Ids of at most ``per_lang`` labelled rows of each language and ``total`` in all, by a hash of the id."""
     labelled = docs.select(F.col(id_col).alias("id"), F.col(lang).alias("lang")).dropna()
     order = [F.xxhash64("id", F.lit(8)), F.col("id")]
-    ranked = labelled.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-    chosen = ranked.filter(F.col("rank") <= per_lang).orderBy("rank", *order).limit(total)
+    ranked = labelled.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(PARTS)))
+    for group in (["lang", "part"], ["lang"]):  # a language is thinned in parts first, so no task meets all its rows
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+        ranked = ranked.filter(F.col("rank") <= per_lang)
+    chosen = ranked.orderBy("rank", *order).limit(total)
     return [r["id"] for r in chosen.select("id").collect()]
 
 
@@ -99,8 +104,6 @@ def fit(
     def make(texts: list[bytes | None]) -> list[pa.Array]:
         return [pa.array([np.packbits(presence([t])[0]).tobytes() for t in texts], pa.binary())]
 
-    from pyspark.sql.types import BinaryType
-
     rows = add_columns(chosen, text, [StructField("_bits", BinaryType())], make, [id_col, lang])
     sample = sorted({(r[0], r[1], bytes(r[2])) for r in rows.collect()}) if ids else []
     if not sample:

@@ -6,14 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewlens.llm import language, simhash
-from reviewlens.llm.common import table
+from reviewlens.llm import language, repeats, simhash
+from reviewlens.llm.common import table, text_or_empty
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, radius=4)
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = repeats.without_repeats(docs, length=200).withColumn("_sha", F.sha2("kept", 256)).drop("kept")
+    rows = docs.select(
+        "doc_id",
+        repeats.text_key().alias("text_id"),
+        F.octet_length(text_or_empty()).cast("bigint").alias("n_bytes"),
+        F.sha2(text_or_empty().cast("binary"), 256).alias("_whole"),
+    )
+    return rows.join(cut, "text_id", "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0).cast("bigint")).alias("n_spans"),
+        F.coalesce("_sha", "_whole").alias("kept_sha256"),
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language.held_out())
     model = language.fit(docs.filter(~F.col("held_out")))
@@ -21,7 +39,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash_near_dedup, op8_language_id)}
+    return {f.__name__: f for f in (op4_simhash_near_dedup, op7_suffix_array_dedup, op8_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
