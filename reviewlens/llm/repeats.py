@@ -94,11 +94,15 @@ def text_blocks(offsets: np.ndarray, length: int) -> Iterator[list[tuple[int, in
         yield held
 
 
+SEGMENTS = "key bigint, content bigint, text_id bigint, loc bigint, run bigint"
+
+
 def segment_rows(length: int):
-    """Arrow rows ``key, content, text, loc`` of all segments of texts ``(text, data)``.
+    """Arrow rows of ``SEGMENTS`` for all segments of texts ``(text_id, data)``.
 
     ``content`` hashes the segment's bytes; ``loc`` packs its start, the minimizer's offset and the
-    number of windows.
+    number of windows. Equal segments in a row, as in text of a short period, are one row that says
+    how many they are (``run``).
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,10 +126,14 @@ def segment_rows(length: int):
                     (xxhash.xxh3_64_intdigest(view[i:j]) for i, j in zip(absolute, stops, strict=True)),
                     np.uint64, len(start),
                 )
+                again = (key[1:] == key[:-1]) & (content[1:] == content[:-1]) & (absolute[1:] == absolute[:-1] + count[:-1])
+                first = np.flatnonzero(np.append(True, ~again)[: len(start)])
+                run_length = np.diff(np.append(first, len(start)))
                 loc = (absolute - offsets[row[of]].astype(np.int64)) << 16 | anchor << 8 | count
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (key, content.view(np.int64), ids[row[of]], loc)],
-                    names=["key", "content", "text_id", "loc"],
+                    [pa.array(x[first]) for x in (key, content.view(np.int64), ids[row[of]], loc)]
+                    + [pa.array(run_length)],
+                    names=["key", "content", "text_id", "loc", "run"],
                 )
 
     return run
@@ -237,6 +245,23 @@ def window_hashes(length: int):
     return run
 
 
+def other_windows(length: int):
+    """Arrow rows of ``RANGES``: runs of the windows of ``piece`` whose numbers are not in ``single``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for key, content, piece, single in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                alone = set(single or ())
+                again = [(i, i + length) for i in range(len(piece) - length + 1) if i not in alone]
+                for a, b in merged(again):
+                    rows.append((key, content, a, b, xxhash.xxh3_64_intdigest(piece[a:b]) - (1 << 63)))
+            columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * 5
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "content", "first", "last", "repeat"])
+
+    return run
+
+
 def piece_of(length: int) -> Column:
     start, windows = F.shiftright("loc", 16), F.col("loc").bitwiseAND(F.lit(0xFF))
     return F.substring(F.col("data"), (start + 1).cast("int"), (windows + length - 1).cast("int"))
@@ -259,25 +284,26 @@ def repeat_spans(texts: DataFrame, length: int = 200, cap: int = CAP, every: boo
     Together the rows cover exactly the bytes that lie in a string of ``length`` bytes which also
     starts elsewhere in these texts. ``repeat`` identifies the repeated string. With ``every``, each
     maximal repeat (within its minimizer's windows) is listed with all its occurrences; else a range
-    inside a longer one of the same segment is left out.
+    inside a longer one of the same segment is left out. In a cell beyond ``cap``, ranges are runs
+    of repeated windows.
 
     Segments are shuffled as four numbers. A minimizer that occurs once ends there. Where all
     segments of a minimizer have the same bytes, they repeat as a whole and no text is read. Only
     the different segments of the other minimizers are read, each once, and compared in the cell of
-    their minimizer; beyond ``cap`` of them, their windows are compared by hashes instead, which a
-    shuffle spreads over all tasks. A hash of a text or of a segment stands for its bytes (64 bits
+    their minimizer; beyond ``cap`` of them, their windows are counted by hashes instead, which a
+    shuffle spreads over all tasks, and those that occur once are taken away. A hash of a text or of a segment stands for its bytes (64 bits
     each, the segment's beside the 64 of its minimizer).
     """
     if not GRAM < length < GRAM + 255:
         raise ValueError(f"length must be over {GRAM} and under {GRAM + 255}")
-    found = texts.mapInArrow(segment_rows(length), "key bigint, content bigint, text_id bigint, loc bigint")
+    found = texts.mapInArrow(segment_rows(length), SEGMENTS)
     keys = found.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("content").alias("least"), F.max("content").alias("most")
+        F.sum("run").alias("n"), F.min("content").alias("least"), F.max("content").alias("most")
     )
     shared = found.join(keys.filter("n > 1"), "key")
-    shared = written(shared.select("key", "content", "text_id", "loc", F.expr("least <> most").alias("mixed")), "segments")
+    shared = written(shared.select("key", "content", "text_id", "loc", "run", F.expr("least <> most").alias("mixed")), "segments")
     mixed = shared.filter("mixed").drop("mixed")
-    one = mixed.groupBy("key", "content").agg(F.count("*").alias("n"), F.min(F.struct("text_id", "loc")).alias("rep"))
+    one = mixed.groupBy("key", "content").agg(F.sum("run").alias("n"), F.min(F.struct("text_id", "loc")).alias("rep"))
     width = one.groupBy("key").agg(F.count("*").alias("width"))
     reps = one.join(width, "key").select("key", "content", "n", "width", "rep.text_id", "rep.loc")
     pieces = reps.join(texts, "text_id").select("key", "content", "n", "width", "loc", piece_of(length).alias("piece"))
@@ -288,16 +314,17 @@ def repeat_spans(texts: DataFrame, length: int = 200, cap: int = CAP, every: boo
     large = pieces.filter(F.col("width") > cap).select("key", "content", "piece")
     windows = large.mapInArrow(window_hashes(length), "key bigint, content bigint, window bigint, at bigint")
     place = F.struct("content", "at")
-    often = windows.groupBy("key", "window").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b")
-    hashed = windows.join(often, ["key", "window"]).select(
-        "key", "content", F.col("at").alias("first"), (F.col("at") + length).alias("last"), F.col("window").alias("repeat")
+    windows = windows.groupBy("key", "window").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+    single = windows.filter("a = b").groupBy("key", F.col("a.content").alias("content")).agg(F.collect_list("a.at").alias("single"))
+    hashed = large.join(single, ["key", "content"], "left").select("key", "content", "piece", "single").mapInArrow(
+        other_windows(length), RANGES
     )
     ranges = compared.union(hashed)
 
     start = F.shiftright("loc", 16)
-    size = F.col("loc").bitwiseAND(F.lit(0xFF)) + (length - 1)
+    size = F.col("loc").bitwiseAND(F.lit(0xFF)) * F.col("run") + (length - 1)
     copied = mixed.join(pieces.filter("n > 1").select("key", "content"), ["key", "content"], "left_semi")
-    same = shared.filter("NOT mixed").drop("mixed").unionByName(copied.select("key", "content", "text_id", "loc"))
+    same = shared.filter("NOT mixed").drop("mixed").unionByName(copied.select(*mixed.columns))
     whole = same.select("text_id", start.alias("first"), (start + size).alias("last"), F.col("content").alias("repeat"))
     inside = mixed.join(ranges, ["key", "content"]).select(
         "text_id", (start + F.col("first")).alias("first"), (start + F.col("last")).alias("last"), "repeat"
