@@ -21,8 +21,9 @@ from reviewlens.llm.common import text_or_empty, whole_groups, written
 GRAM = 40
 #: Window starts hashed at once; their positions fit the 16 low bits of a packed hash.
 BLOCK = 60_000
-#: Different segments that one cell compares; beyond it, windows are compared by their hashes.
-CAP = 1024
+#: Different segments that one cell compares (10 MB of bytes at most); beyond it, windows are
+#: compared by their hashes.
+CAP = 1 << 15
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
