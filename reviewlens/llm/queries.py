@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewlens.llm import language, repeats, simhash
+from reviewlens.llm import language, repeats, secrets, simhash
 from reviewlens.llm.common import table, text_or_empty
 
 
@@ -38,8 +38,22 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model, keep=["doc_id", "held_out"])
 
 
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = secrets.scan(docs).select("doc_id", "secret_spans")
+    found = F.col("secret_spans")
+    number = lambda kind: F.size(secrets.of_kind(found, kind)).cast("bigint").alias(f"n_{kind}")
+    base = secrets.listed(secrets.of_kind(found, *secrets.KINDS[:3]))
+    return spans.select(
+        "doc_id",
+        *[number(kind) for kind in secrets.KINDS[:3]],
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(found).alias("spans"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash_near_dedup, op7_suffix_array_dedup, op8_language_id)}
+    return {f.__name__: f for f in (op4_simhash_near_dedup, op7_suffix_array_dedup, op8_language_id, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
