@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reviewlens.llm.common import running
+
 START, END, DIVIDE = "<|im_start|>", "<|im_end|>\n", "<|im_sep|>"
 
 
@@ -36,7 +38,8 @@ def format_turns(rows: DataFrame, id_col: str = "conv_id", turn: str = "turn", r
 
     Turns are sorted by number, equal numbers by role and text; repeated rows stay. A null role or
     text counts as empty, a null number comes first, and rows with a null id are one conversation.
-    Other columns are ignored. No rows give no rows.
+    Other columns are ignored. No rows give no rows. A conversation is one row of the result and so
+    is gathered whole; that is the only group that is.
     """
     said = rows.select(
         F.col(id_col).alias("_id"),
@@ -60,16 +63,15 @@ def format_turns(rows: DataFrame, id_col: str = "conv_id", turn: str = "turn", r
     )
     talks = talks.select("_id", opened.alias("turns"))
     formatted = F.concat(F.array_join(F.transform("turns", lambda t: F.concat(t["before"], t["text"])), ""), F.lit(END))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,size:int>>").alias("spans"))
-
-    def step(a: Column, t: Column) -> Column:
-        start = a["at"] + F.length(t["before"])
-        own = F.array(F.struct(start.alias("start"), F.length(t["text"]).alias("size")))
-        spans = F.when(t["loss"], F.concat(a["spans"], own)).otherwise(a["spans"])
-        return F.struct((start + F.length(t["text"])).alias("at"), spans.alias("spans"))
-
-    spans = F.aggregate("turns", begin, step)["spans"]
-    return talks.select(F.col("_id").alias(id_col), formatted.alias("formatted"), spans.alias("loss_spans"))
+    size = lambda part: F.transform("turns", lambda t: F.length(t[part]))
+    talks = talks.select(
+        "_id", formatted.alias("formatted"), size("before").alias("before"), size("text").alias("size"),
+        F.transform("turns", lambda t: t["loss"]).alias("loss"),
+    )
+    at = F.zip_with(running(F.zip_with("before", "size", lambda x, y: x + y)), "before", lambda x, y: x + y)
+    every = F.arrays_zip(at.alias("start"), F.col("size"), F.col("loss"))
+    spans = F.transform(F.filter(every, lambda s: s["loss"]), lambda s: F.struct(s["start"].alias("start"), s["size"].alias("size")))
+    return talks.select(F.col("_id").alias(id_col), "formatted", spans.alias("loss_spans"))
 
 
 def read_turns(formatted: Column) -> Column:

@@ -132,8 +132,15 @@ def has_letter(text: bytes | None) -> bool:
     return text is not None and any(map(str.isalpha, text.decode("utf-8", "replace")))
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (0 to 1), from whole texts alone.
+def identify(
+    docs: DataFrame,
+    model: Model,
+    text: str = "text",
+    keep: list[str] | None = None,
+    pred: str = "lang_pred",
+    score: str = "score",
+) -> DataFrame:
+    """``docs`` with the language ``pred`` and its ``score`` (0 to 1), from whole texts alone.
 
     A text that is null or has no letter, or any text under an empty model, gets ``und`` with score
     0. Equal scores go to the first language by name. Rows are scored one by one, so repeated rows
@@ -142,23 +149,23 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     langs, weights = model.langs, model.weights
 
     def make(texts: list[bytes | None]) -> list[pa.Array]:
-        pred, score = [], []
+        lang, sure = [], []
         for at in range(0, len(texts), ROWS):
             part = texts[at : at + ROWS]
             if not langs:
-                pred += [UNDETERMINED] * len(part)
-                score += [0.0] * len(part)
+                lang += [UNDETERMINED] * len(part)
+                sure += [0.0] * len(part)
                 continue
             held = presence(part).astype(np.float32)
             out = held @ weights / np.sqrt(np.maximum(held.sum(axis=1, keepdims=True), 1))
             best = out.argmax(axis=1)
             known = [has_letter(t) for t in part]
-            pred += [langs[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)]
+            lang += [langs[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)]
             top = np.clip(out[np.arange(len(part)), best], 0, 1)
-            score += [float(s) if k else 0.0 for s, k in zip(top, known, strict=True)]
-        return [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
+            sure += [float(s) if k else 0.0 for s, k in zip(top, known, strict=True)]
+        return [pa.array(lang, pa.string()), pa.array(sure, pa.float64())]
 
-    fields = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    fields = [StructField(pred, StringType()), StructField(score, DoubleType())]
     return add_columns(docs, text, fields, make, keep)
 
 

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reviewlens.llm.common import text_or_empty
+from reviewlens.llm.common import running, text_or_empty
 
 #: Kinds in the order in which spans of one start are listed. Fixed values.
 KINDS = ("assign", "access", "hex", "random")
@@ -39,26 +39,6 @@ MIXED = {
 }
 #: Bins per factor of ten of a p-value, and the number of bins.
 BINS, MOST = 20, 400
-#: Items summed in one step of a running sum.
-STEP = 256
-
-
-def running(lengths: Column) -> Column:
-    """The sum of all earlier items, for each item of an array of ints.
-
-    Sums run inside blocks and over the blocks, so that no long array is copied once per item.
-    """
-
-    def sums(items: Column, first: Column) -> Column:
-        begin = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
-        step = lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out"))
-        return F.aggregate(items, begin, step)["out"]
-
-    blocks = F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / STEP).cast("int"))
-    part = lambda b: F.slice(lengths, b * STEP + 1, STEP)
-    totals = F.transform(blocks, lambda b: F.aggregate(part(b), F.lit(0), lambda a, x: a + x))
-    return F.flatten(F.zip_with(blocks, sums(totals, F.lit(0)), lambda b, first: sums(part(b), first)))
-
 
 def located(df: DataFrame, text: str, pattern: str, out: str, group: int = 0) -> DataFrame:
     """Adds ``out``: ``start``, ``end`` (code points) and ``value`` (a group) of all matches, from the left.
@@ -232,8 +212,10 @@ def ordinary_below(docs: DataFrame, text: str = "text", rate: float = 0.05) -> d
     return {r["class"]: r["edge"] for r in passed.groupBy("class").agg(F.max("edge").alias("edge")).collect()}
 
 
-def scan(docs: DataFrame, text: str = "text", thresholds: dict[str, float] | None = None) -> DataFrame:
-    """``docs`` with ``secret_spans``: sorted structs ``start, order, end, kind`` (code points, end exclusive).
+def scan(
+    docs: DataFrame, text: str = "text", thresholds: dict[str, float] | None = None, out: str = "secret_spans"
+) -> DataFrame:
+    """``docs`` with spans in column ``out``: sorted structs ``start, order, end, kind`` (code points, end exclusive).
 
     ``assign``, ``access`` and ``hex`` are the fixed patterns, each leftmost and without overlap
     among its kind. ``random`` spans are strings in an inferred encoding for which the tests did not
@@ -241,11 +223,11 @@ def scan(docs: DataFrame, text: str = "text", thresholds: dict[str, float] | Non
     ``ordinary_below`` by default); those inside another span are left out.
 
     Whole texts are searched. A null text counts as empty and has no spans, like an empty table no
-    rows; repeated rows get the same spans. A column ``secret_spans`` of ``docs`` is replaced.
+    rows; repeated rows get the same spans. A column of ``docs`` with the name ``out`` is replaced.
     """
     if thresholds is None:
         thresholds = ordinary_below(docs, text)
-    df = docs.drop("secret_spans").withColumn("_scanned", text_or_empty(text))
+    df = docs.drop(out).withColumn("_scanned", text_or_empty(text))
     df = located(df, "_scanned", ASSIGN, "_assign", 2)
     df = located(df, "_scanned", ACCESS, "_access")
     df = located(df, "_scanned", HEX, "_hex")
@@ -265,7 +247,7 @@ def scan(docs: DataFrame, text: str = "text", thresholds: dict[str, float] | Non
     random = F.filter(
         random, lambda c: ~F.exists("_base", lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"]))
     )
-    df = df.withColumn("secret_spans", F.array_sort(F.concat("_base", F.transform(random, span("random")))))
+    df = df.withColumn(out, F.array_sort(F.concat("_base", F.transform(random, span("random")))))
     return df.drop("_scanned", "_assign", "_access", "_hex", "_random", "_base")
 
 
