@@ -29,6 +29,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch. Texts are large rows: at Spark's default a batch of them takes up to
+#: hundreds of MB outside the heap, in the JVM and again in the worker.
+BATCH_ROWS = 2000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def map_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow`` in a session whose Arrow batches have ``BATCH_ROWS`` rows at most."""
+    size = int(df.sparkSession.conf.get(BATCH_SETTING))
+    if not 0 < size <= BATCH_ROWS:
+        df.sparkSession.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def add_columns(
     df: DataFrame,
     text: str,
@@ -52,7 +66,7 @@ def add_columns(
             made = make(batch.column(len(stay)).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(stay))] + made, names=names)
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)
 
 
 def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from reviewlens.llm.common import written
+from reviewlens.llm.common import map_batches, written
 
 #: The split of a text before the merges, as the tokenizer file's byte-level step does it. Fixed value.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -80,7 +80,7 @@ def piece_rows(
                 arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *arrays], names=names)
 
-    return docs.select(id_col, text).mapInArrow(run, StructType(fields))
+    return map_batches(docs.select(id_col, text), run, StructType(fields))
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,7 +136,7 @@ def placed(items: DataFrame, groups: int, capacity: int) -> DataFrame:
             yield pack(pa.Table.from_batches(held))
 
     dealt = items.select("item", "length").repartition(groups, "item").sortWithinPartitions("item")
-    return dealt.mapInArrow(run, PLACES)
+    return map_batches(dealt, run, PLACES)
 
 
 def pack(items: DataFrame, capacity: int = 1024, group: int = GROUP) -> DataFrame:

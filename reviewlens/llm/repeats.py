@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewlens.llm.common import text_or_empty, whole_groups, written
+from reviewlens.llm.common import map_batches, sorted_by, text_or_empty, whole_groups, written
 
 GRAM = 40
 #: Window starts hashed at once; their positions fit the 16 low bits of a packed hash.
@@ -297,7 +297,7 @@ def repeat_spans(texts: DataFrame, length: int = 200, cap: int = CAP, every: boo
     """
     if not GRAM < length < GRAM + 255:
         raise ValueError(f"length must be over {GRAM} and under {GRAM + 255}")
-    found = texts.mapInArrow(segment_rows(length), SEGMENTS)
+    found = map_batches(texts, segment_rows(length), SEGMENTS)
     keys = found.groupBy("key").agg(
         F.sum("run").alias("n"), F.min("content").alias("least"), F.max("content").alias("most")
     )
@@ -311,15 +311,14 @@ def repeat_spans(texts: DataFrame, length: int = 200, cap: int = CAP, every: boo
     pieces = written(pieces, "pieces")
 
     cells = pieces.filter(F.col("width") <= cap).select("key", "content", "loc", "piece")
-    compared = cells.repartition("key").sortWithinPartitions("key").mapInArrow(compare_cells(length, every), RANGES)
+    compared = map_batches(sorted_by(cells, ["key"]), compare_cells(length, every), RANGES)
     large = pieces.filter(F.col("width") > cap).select("key", "content", "piece")
-    windows = large.mapInArrow(window_hashes(length), "key bigint, content bigint, window bigint, at bigint")
+    windows = map_batches(large, window_hashes(length), "key bigint, content bigint, window bigint, at bigint")
     place = F.struct("content", "at")
     windows = windows.groupBy("key", "window").agg(F.min(place).alias("a"), F.max(place).alias("b"))
     single = windows.filter("a = b").groupBy("key", F.col("a.content").alias("content")).agg(F.collect_list("a.at").alias("single"))
-    hashed = large.join(single, ["key", "content"], "left").select("key", "content", "piece", "single").mapInArrow(
-        other_windows(length), RANGES
-    )
+    others = large.join(single, ["key", "content"], "left").select("key", "content", "piece", "single")
+    hashed = map_batches(others, other_windows(length), RANGES)
     ranges = compared.union(hashed)
 
     start = F.shiftright("loc", 16)
@@ -399,4 +398,4 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = 200, whol
     )
     of_text = spans.groupBy("text_id").agg(F.collect_set(F.struct("first", "last")).alias("s"))
     rows = of_text.join(texts, "text_id").select("text_id", "data", F.col("s.first"), F.col("s.last"))
-    return rows.mapInArrow(cut_out(whole_chars), CUT)
+    return map_batches(rows, cut_out(whole_chars), CUT)

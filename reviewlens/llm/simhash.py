@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField
 
-from reviewlens.llm.common import add_columns, cells, repeated, sorted_by, whole_groups, written
+from reviewlens.llm.common import add_columns, cells, map_batches, repeated, sorted_by, whole_groups, written
 from reviewlens.llm.components import connected_components
 
 BITS = 64
@@ -169,7 +169,7 @@ def fingerprint_links(prints: DataFrame, column: str, radius: int, blocks: int)
             u, v = values[u].view(np.int64), values[v].view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
 
-    return dealt.mapInArrow(run, "u bigint, v bigint")
+    return map_batches(dealt, run, "u bigint, v bigint")
 
 
 def near_duplicates(
