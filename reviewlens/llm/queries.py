@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewlens.llm import chat, language, packing, paragraphs, repeats, secrets, sentencepiece_words, simhash
+from reviewlens.llm import chat, language, neighbours, packing, paragraphs, repeats, secrets, sentencepiece_words, simhash
 from reviewlens.llm.common import table, text_or_empty
 
 
@@ -69,6 +69,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), size=1024, end_id=2)
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), lambda key: key % 20 == 0, k=20)
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = repeats.without_repeats(docs, length=200).withColumn("_sha", F.sha2("kept", 256)).drop("kept")
@@ -119,6 +123,7 @@ QUERIES = (
     op3_sentencepiece,
     op4_simhash_near_dedup,
     op5_best_fit_packing,
+    op6_nearest_neighbours,
     op7_suffix_array_dedup,
     op8_language_id,
     op10_secret_scans,

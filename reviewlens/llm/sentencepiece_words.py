@@ -24,7 +24,7 @@ MARK = "▁"
 #: A run of marks with what follows, or a line break, which no piece contains.
 WORD = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 #: Words whose ids a worker keeps, and pairs of pieces whose fit it keeps.
-KEPT_WORDS, KEPT_PAIRS = 300_000, 1_000_000
+KEPT_WORDS, KEPT_PAIRS = 150_000, 500_000
 
 
 def default_path() -> str:
@@ -38,72 +38,81 @@ class Pieces:
 
     For every prefix of a word, the step finds the last piece of the prefix's best segmentation from
     those of shorter prefixes. With a unigram model, that is the piece with the best sum of scores.
-    A byte-pair model merges by score, so sums do not decide; but each prefix of its segmentation is
+    The longest of equals counts. A byte-pair model merges by score, so sums do not decide; but each prefix of its segmentation is
     the segmentation of that prefix, so exactly one last piece fits its predecessor: the one that
     merging the two alone would leave apart (at a word's beginning, the one that merging gives whole).
     """
 
     def __init__(self, scores: dict[str, float], unigram: bool):
-        self.scores, self.unigram = scores, unigram
-        self.longest = max(map(len, scores), default=1)
+        self.scores = scores
+        self.last = self.last_by_score if unigram else self.last_by_merges
         self.unknown = min(scores.values(), default=0.0) - 10
+        self.rank = {piece: -score for piece, score in scores.items()}
+        #: All ends of pieces: a search for pieces that end somewhere stops at the first that is none.
+        self.ends = {piece[i:] for piece in scores for i in range(len(piece))}
         self.fits: dict[tuple[str, str], bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """Byte-pair segmentation: the best-scored neighbours are merged first, the leftmost of equals."""
-        parts = list(text)
+        parts, rank = list(text), self.rank
         while True:
-            best = max(
-                ((self.scores[a + b], -i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in self.scores),
-                default=None,
-            )
-            if best is None:
+            best = at = None
+            for i in range(len(parts) - 1):
+                r = rank.get(parts[i] + parts[i + 1])
+                if r is not None and (best is None or r < best):
+                    best, at = r, i
+            if at is None:
                 return parts
-            i = -best[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-
-    def apart(self, before: str, piece: str) -> bool:
-        pair = (before, piece)
-        fit = self.fits.get(pair)
-        if fit is None:
-            if len(self.fits) >= KEPT_PAIRS:
-                self.fits.clear()
-            fit = self.fits[pair] = self.merged(before + piece) == [p for p in pair if p]
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+    def apart(self, pair: tuple[str, str]) -> bool:
+        if len(self.fits) >= KEPT_PAIRS:
+            self.fits.clear()
+        fit = self.fits[pair] = self.merged(pair[0] + pair[1]) == [p for p in pair if p]
         return fit
 
-    def step(self, word: str, end: int, states: list[tuple[float, str]]) -> tuple[float, str]:
-        """The state of ``word[:end]`` (score, last piece) from those of all shorter prefixes."""
-        best = None
-        for size in range(min(end, self.longest), 0, -1):
-            piece = word[end - size : end]
-            if size > 1 and piece not in self.scores:
-                continue
-            if self.unigram:
-                score = states[end - size][0] + self.scores.get(piece, self.unknown)
-                if best is None or score > best[0]:
-                    best = (score, piece)
-            elif self.apart(states[end - size][1], piece):
-                return 0.0, piece
-        return best if best is not None else (0.0, word[end - 1])
+    def last_by_merges(self, word: str, end: int, states: list[tuple[str, float]]) -> tuple[str, float]:
+        for begin in range(end - 1, -1, -1):
+            piece = word[begin:end]
+            if piece not in self.ends:
+                break
+            if piece in self.scores:
+                pair = (states[begin][0], piece)
+                fit = self.fits.get(pair)
+                if fit or fit is None and self.apart(pair):
+                    return piece, 0.0
+        return word[end - 1 : end], 0.0
+
+    def last_by_score(self, word: str, end: int, states: list[tuple[str, float]]) -> tuple[str, float]:
+        best = (word[end - 1 : end], states[end - 1][1] + self.scores.get(word[end - 1], self.unknown))
+        for begin in range(end - 2, -1, -1):
+            piece = word[begin:end]
+            if piece not in self.ends:
+                break
+            if piece in self.scores and states[begin][1] + self.scores[piece] >= best[1]:
+                best = (piece, states[begin][1] + self.scores[piece])
+        return best
 
     def segment(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
         """Each distinct word with its pieces.
 
-        Sorted words are the trie's paths in depth-first order; the states along the current path
-        are kept, and a word takes up after the prefix that it shares with the one before.
+        Sorted words are the trie's paths in depth-first order; the states (last piece, score) along
+        the current path are kept, and a word takes up after the prefix that it shares with the one
+        before.
         """
-        path, states = "", [(0.0, "")]
+        path, states, last = "", [("", 0.0)], self.last
         for word in sorted(set(words)):
-            shared = 0
-            while shared < min(len(path), len(word)) and path[shared] == word[shared]:
+            shared, most = 0, min(len(path), len(word))
+            while shared < most and path[shared] == word[shared]:
                 shared += 1
             del states[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                states.append(self.step(word, end, states))
+                states.append(last(word, end, states))
             path, pieces, end = word, [], len(word)
             while end:
-                pieces.append(states[end][1])
-                end -= len(pieces[-1])
+                piece = states[end][0]
+                pieces.append(piece)
+                end -= len(piece)
             yield word, pieces[::-1]
 
 
@@ -152,7 +161,8 @@ class Codec:
             self.words, self.parts = {}, {}
         fresh = {w: self.cut(w) for w in set(chain.from_iterable(split)) if w not in self.words}
         for part, pieces in self.pieces.segment(set(chain.from_iterable(fresh.values())) - self.parts.keys()):
-            self.parts[part] = tuple(chain.from_iterable(map(self.number, pieces)))
+            ids = [*map(self.ids.get, pieces)]
+            self.parts[part] = tuple(ids if None not in ids else chain.from_iterable(map(self.number, pieces)))
         for word, parts in fresh.items():
             self.words[word] = tuple(chain.from_iterable(map(self.parts.__getitem__, parts)))
         return [list(chain.from_iterable(map(self.words.__getitem__, words))) for words in split]
@@ -174,6 +184,14 @@ def codec(path: str) -> Codec:
     return kept[path]
 
 
+def encoded(path: str, texts: list[str]) -> list[list[int]]:
+    gc.disable()  # scans of all kept words would take as long as the segmentation
+    try:
+        return codec(path).encode(texts)
+    finally:
+        gc.enable()
+
+
 def encode(docs: DataFrame, text: str = "text", out: str = "ids", path: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the ids of ``text`` in column ``out``.
 
@@ -188,9 +206,7 @@ def encode(docs: DataFrame, text: str = "text", out: str = "ids", path: str | No
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(len(stay)).to_pylist()]
-            gc.disable()  # a scan of all kept words each time would take as long as the segmentation
-            ids = pa.array(codec(path).encode(texts), pa.list_(pa.int32()))
-            gc.enable()
+            ids = pa.array(encoded(path, texts), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(stay)], ids], names=[*stay, out])
 
     return map_batches(docs.select(*stay, docs[text].alias("_text")), run, schema)
@@ -226,15 +242,15 @@ def round_trips(docs: DataFrame, id_col: str = "doc_id", text: str = "text", pat
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, given = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            given = [t or "" for t in batch.column(1).to_pylist()]
+            own = encoded(path, given)
             back = [codec(path).decode(i) for i in own]
             columns = [
                 pa.array([len(i) for i in own], pa.int64()),
                 pa.array([zlib.crc32(np.array(i, "<u4").tobytes()) for i in own], pa.int64()),
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back], pa.string()),
-                pa.array([t == (g or "") for t, g in zip(back, given, strict=True)], pa.bool_()),
+                pa.array([t == g for t, g in zip(back, given, strict=True)], pa.bool_()),
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[f.name for f in fields])
 
-    coded = encode(docs.select(id_col, text), text, "_own", path)
-    return map_batches(coded.select(id_col, "_own", text), run, StructType(fields))
+    return map_batches(docs.select(id_col, text), run, StructType(fields))
