@@ -24,7 +24,7 @@ MARK = "▁"
 #: A run of marks with what follows, or a line break, which no piece contains.
 WORD = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 #: Words whose ids a worker keeps, and pairs of pieces whose fit it keeps.
-KEPT_WORDS, KEPT_PAIRS = 150_000, 500_000
+KEPT_WORDS, KEPT_PAIRS = 400_000, 500_000
 
 
 def default_path() -> str:
@@ -152,8 +152,13 @@ class Codec:
 
     def cut(self, word: str) -> list[str]:
         """A word's parts, cut where no piece can reach over."""
-        at = [0, *(i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.inside), len(word)]
-        return [word[a:b] for a, b in zip(at, at[1:], strict=False)]
+        inside, begin, parts = self.inside, 0, []
+        for i in range(1, len(word)):
+            if word[i - 1 : i + 1] not in inside:
+                parts.append(word[begin:i])
+                begin = i
+        parts.append(word[begin:])
+        return parts
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         split = [WORD.findall(self.model.normalize(t)) if t else [] for t in texts]
