@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewlens.llm import chat, language, neighbours, packing, paragraphs, repeats, secrets, sentencepiece_words, simhash
+from reviewlens.llm import chat, language, neighbours, packing, paragraphs, ranking, repeats, secrets, sentencepiece_words, simhash
 from reviewlens.llm.common import table, text_or_empty
 
 
@@ -97,6 +97,32 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model, keep=["doc_id", "held_out"])
 
 
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search_all(table(spark, sf_dir, "documents"), lambda key: key % 20 == 0, k=10)
+
+
+OP9_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) AS term FROM documents
+), postings AS (
+  SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL
+), lengths AS (
+  SELECT doc_id, sum(tf) AS dl FROM postings GROUP BY doc_id
+), totals AS (
+  SELECT (SELECT count(*) FROM documents) AS n, (SELECT sum(dl) FROM lengths) / (SELECT count(*) FROM documents) AS mean
+), terms AS (
+  SELECT term, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM postings, totals GROUP BY term
+), scored AS (
+  SELECT q.doc_id AS query_id, d.doc_id,
+    round(sum(q.tf * idf * d.tf * 2.2 / (d.tf + 1.2 * (0.25 + 0.75 * dl / mean))), 6) AS score
+  FROM postings q JOIN postings d USING (term) JOIN terms USING (term) JOIN lengths l ON l.doc_id = d.doc_id, totals
+  WHERE q.doc_id % 20 = 0 GROUP BY ALL
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     spans = secrets.scan(docs).select("doc_id", "secret_spans")
@@ -126,6 +152,7 @@ QUERIES = (
     op6_nearest_neighbours,
     op7_suffix_array_dedup,
     op8_language_id,
+    op9_topk_search,
     op10_secret_scans,
     pipeline,
 )
@@ -136,4 +163,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": OP2_SQL}
+    return {"op2_chat_format": OP2_SQL, "op9_topk_search": OP9_SQL}
