@@ -39,45 +39,61 @@ def by_label(predictions: DataFrame) -> DataFrame:
 
 
 def snapshot(reviews: DataFrame, predictions: DataFrame, as_of: datetime) -> DataFrame:
-    """One row: totals, and counts per model and platform as ``name=count`` lists.
+    """Rows ``kind, name, n, ts``: both totals (empty name) and the counts per platform and model.
 
-    Each table is read once; the lists have one entry per model or platform, a handful.
+    Each table is read once.
     """
 
-    def summary(df: DataFrame, key: str) -> Column:
-        groups = df.groupBy(F.coalesce(F.col(key), F.lit("")).alias("k")).agg(_n())
-        entry = F.concat("k", F.lit("="), F.col("n").cast("string"))
-        total = F.coalesce(F.sum("n"), F.lit(0)).alias("total")
-        listing = F.array_join(F.array_sort(F.collect_list(entry)), ",").alias("listing")
-        return groups.agg(total, listing).select(F.struct("total", "listing")).scalar()
+    def summary(df: DataFrame, key: str, kind: str) -> DataFrame:
+        named = df.select(F.coalesce(F.col(key), F.lit("")).alias("name"))
+        counted = named.rollup("name").agg(_n(), F.grouping("name").alias("all"))
+        which = F.when(F.col("all") == 1, kind).otherwise(f"{kind}_{key}")
+        return counted.select(which.alias("kind"), F.coalesce("name", F.lit("")).alias("name"), "n")
 
-    raw, pred = summary(reviews, "platform"), summary(predictions, "model")
     stamp = int(as_of.replace(tzinfo=as_of.tzinfo or timezone.utc).timestamp())
-    return reviews.sparkSession.range(1).select(
-        raw["total"].alias("raw"),
-        pred["total"].alias("pred"),
-        pred["listing"].alias("by_model"),
-        raw["listing"].alias("by_platform"),
-        F.lit(stamp).cast("bigint").alias("ts"),
-    )
+    both = summary(reviews, "platform", "raw").unionByName(summary(predictions, "model", "pred"))
+    return both.withColumn("ts", F.lit(stamp).cast("bigint"))
+
+
+NAME_LENGTH = 40
 
 
-def with_display_name(df: DataFrame, by: str = "display", n: int = 40) -> DataFrame:
-    """Add ``display_name``: the product name (else id, else ``Unknown``), cut unless ``by='full'``."""
+def with_display_name(df: DataFrame, by: str = "product", n: int = NAME_LENGTH) -> DataFrame:
+    """Add ``display_name``: the product name (else id, else ``Unknown``), cut if ``by='display'``."""
     full = F.coalesce("product_name", "product_id", F.lit("Unknown"))
-    return df.withColumn("display_name", full if by == "full" else ellipsize(full, n))
+    return df.withColumn("display_name", ellipsize(full, n) if by == "display" else full)
+
+
+def _by_product(df: DataFrame, by: str) -> tuple[DataFrame, list[str]]:
+    """Rows with the columns that tell products apart: id and full name, or the (cut) name alone."""
+    named = with_display_name(df, by).withColumn("product_id", F.coalesce("product_id", F.lit("")))
+    return named, ["product_id", "display_name"] if by == "product" else ["display_name"]
 
 
-def top_products(df: DataFrame, k: int = 10, by: str = "display") -> DataFrame:
-    """Label counts of the ``k`` products with most reviews; equal counts by name.
+def _shown(df: DataFrame, by: str) -> DataFrame:
+    """Names cut for display once products have been told apart."""
+    return df.withColumn("display_name", ellipsize(F.col("display_name"), NAME_LENGTH)) if by == "product" else df
+
+
+def top_keys(df: DataFrame, k: int = 10, by: str = "product") -> DataFrame:
+    """The ``k`` products with most rows, and their ``total``; equal counts by name, then id."""
+    named, keys = _by_product(df, by)
+    totals = named.groupBy(*keys).agg(_n("total"))
+    return newest(totals, k, [F.desc("total"), *[F.asc(c) for c in reversed(keys)]])
+
+
+def top_products(df: DataFrame, k: int = 10, by: str = "product") -> DataFrame:
+    """Label counts of the ``k`` products with most reviews; equal counts by name, then id.
 
     The table is aggregated once per product and label. Totals, ranking and the semi join work on
-    that small result.
+    that small result. ``by`` is ``product`` (id and full name, cut for display), ``full`` (the full
+    name) or ``display`` (the cut name: products that share it are one).
     """
-    per_label = with_display_name(df, by).groupBy("display_name", "pred_label_vn").agg(_n())
-    totals = per_label.groupBy("display_name").agg(F.sum("n").alias("total"))
-    top = newest(totals, k, [F.desc("total"), F.asc("display_name")])
-    return per_label.join(F.broadcast(top), "display_name").select("display_name", "pred_label_vn", "n", "total")
+    named, keys = _by_product(df, by)
+    per_label = named.groupBy(*keys, "pred_label_vn").agg(_n())
+    totals = per_label.groupBy(*keys).agg(F.sum("n").alias("total"))
+    top = newest(totals, k, [F.desc("total"), *[F.asc(c) for c in reversed(keys)]])
+    return _shown(per_label.join(F.broadcast(top), keys), by).select(*keys, "pred_label_vn", "n", "total")
 
 
 def by_category(df: DataFrame) -> DataFrame:
@@ -91,14 +107,11 @@ def by_category_wide(df: DataFrame, labels: Sequence[str] = LABEL_ORDER) -> Data
     return df.groupBy(category).pivot("pred_label_vn", list(labels)).count().na.fill(0)
 
 
-def worst_products(df: DataFrame, k: int = 10, by: str = "display", label: str = LABEL_ORDER[2]) -> DataFrame:
-    """The ``k`` products with most negative reviews; equal counts by name."""
-    negative = with_display_name(df.filter(F.col("pred_label_vn") == label), by)
-    return newest(
-        negative.groupBy("display_name").agg(_n("negative_count")),
-        k,
-        [F.desc("negative_count"), F.asc("display_name")],
-    )
+def worst_products(df: DataFrame, k: int = 10, by: str = "product", label: str = LABEL_ORDER[2]) -> DataFrame:
+    """The ``k`` products with most negative reviews; equal counts by name, then id. ``by`` as above."""
+    negative, keys = _by_product(df.filter(F.col("pred_label_vn") == label), by)
+    counted = negative.groupBy(*keys).agg(_n("negative_count"))
+    return _shown(newest(counted, k, [F.desc("negative_count"), *[F.asc(c) for c in reversed(keys)]]), by)
 
 
 def summary(df: DataFrame) -> DataFrame:

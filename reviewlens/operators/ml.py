@@ -64,12 +64,12 @@ def predict(model: PipelineModel, reviews: DataFrame) -> DataFrame:
 
 
 def evaluate(predictions: DataFrame, labels: DataFrame, key: str = "review_id") -> DataFrame:
-    """One row: rows compared and accuracy of ``pred_label`` against ``label``."""
-    joined = predictions.select(key, "pred_label").join(labels.select(key, "label"), key)
+    """Per model: rows compared and accuracy of ``pred_label`` against ``label``."""
+    joined = predictions.select(key, "model", "pred_label").join(labels.select(key, "label"), key)
     hit = (F.col("pred_label") == F.col("label")).cast("double")
-    return joined.agg(F.count("*").alias("n"), F.avg(hit).alias("accuracy"))
+    return joined.groupBy("model").agg(F.count("*").alias("n"), F.avg(hit).alias("accuracy"))
 
 
 def confusion(predictions: DataFrame, labels: DataFrame, key: str = "review_id") -> DataFrame:
-    joined = predictions.select(key, "pred_label").join(labels.select(key, "label"), key)
-    return joined.groupBy("label", "pred_label").agg(F.count("*").alias("n"))
+    joined = predictions.select(key, "model", "pred_label").join(labels.select(key, "label"), key)
+    return joined.groupBy("model", "label", "pred_label").agg(F.count("*").alias("n"))

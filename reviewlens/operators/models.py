@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewlens.functions import compose_text, confidence, label_name
 from reviewlens.operators.scoring import score_rating
@@ -51,15 +51,13 @@ def _score_batch(score: Scorer, texts: list[str]) -> list[tuple]:
     return [(int(label), [float(p) for p in proba], "ok") for label, proba in zip(labels, probas)]
 
 
-def score_column(
-    text: Column, scorer_factory: ScorerFactory, batch: int = 100, max_tokens: int | None = None
-) -> Column:
+def score_column(text: Column, scorer_factory: ScorerFactory, batch: int = 100) -> Column:
     """``struct<pred, proba, status>`` of a text column.
 
     The model is built once per task, then fed batches of at most ``batch`` texts. Only the text
     leaves the JVM: the other columns of a row wait for its result, so predictions need not be
-    matched back by position or by a join. ``max_tokens`` cuts texts to that many words for models
-    that need it; by default they see the whole text.
+    matched back by position or by a join. A model sees whole texts; one that has a limit of its own
+    applies it in its tokenizer.
     """
 
     @F.pandas_udf(RESULT)
@@ -67,8 +65,6 @@ def score_column(
         score = scorer_factory()
         for series in batches:
             texts = series.fillna("").tolist()
-            if max_tokens is not None:
-                texts = [" ".join(t.split()[:max_tokens]) for t in texts]
             results = [r for i in range(0, len(texts), batch) for r in _score_batch(score, texts[i : i + batch])]
             yield pd.DataFrame(results, columns=["pred", "proba", "status"]).astype({"pred": "Int32"})
 
@@ -81,12 +77,11 @@ def score_with(
     scorer_factory: ScorerFactory,
     batch: int = 100,
     labels: dict[int, str] = LABELS,
-    max_tokens: int | None = None,
 ) -> DataFrame:
     """Add ``pred_label``, ``pred_label_vn``, ``proba``, ``confidence`` and ``status``."""
     text = compose_text(F.col("title"), F.col("content"))
     return (
-        reviews.withColumn("_r", score_column(text, scorer_factory, batch, max_tokens))
+        reviews.withColumn("_r", score_column(text, scorer_factory, batch))
         .withColumns(
             {
                 "pred_label": F.col("_r.pred"),
@@ -121,13 +116,21 @@ def failed(scored: DataFrame) -> DataFrame:
 
 
 def attach_by_key(reviews: DataFrame, scored: DataFrame, key: str = "review_id") -> DataFrame:
-    """Externally computed predictions joined to their rows by key.
+    """Externally computed predictions joined to their rows by key, one to one.
 
-    Fails at run time on a review without a prediction; both sides must be unique per key.
+    Fails at run time on a review without a prediction, a prediction without a review, and a key
+    that either side holds twice. The counts per key use the join's own partitioning.
     """
-    missing = F.assert_true(F.col("_has").isNotNull(), F.concat(F.lit("no prediction for "), F.col(key)))
-    return (
-        reviews.join(scored.withColumn("_has", F.lit(True)), key, "left")
-        .filter(missing.isNull())
-        .drop("_has")
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.withColumn(name, F.count("*").over(Window.partitionBy(key)))
+
+    both = counted(reviews, "_own").join(counted(scored, "_found"), key, "full_outer")
+    once = lambda name: F.coalesce(F.col(name), F.lit(0))
+    wrong = (
+        F.when(once("_found") == 0, "no prediction for ")
+        .when(once("_own") == 0, "no review for ")
+        .when((once("_found") > 1) | (once("_own") > 1), "more than one row for ")
     )
+    checked = F.assert_true(wrong.isNull(), F.concat(wrong, F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    return both.filter(checked.isNull()).drop("_own", "_found")

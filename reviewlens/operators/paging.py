@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewlens.session import ensure_checkpoint_dir
 
-# Rows a single task may be asked to keep in order to skip them.
+# Rows a single task may be asked to keep in order to skip them. Beyond, keys are numbered first; the
+# rows of a page are the same either way.
 MAX_TOP_ROWS = 100_000
 
 
@@ -44,20 +47,26 @@ def page(
 ) -> DataFrame:
     """Page ``number`` (from 1) with ``total_rows`` and ``total_pages`` on each row.
 
-    ``order`` must be total and use only ``key`` columns. A shallow page is a top-n. A deep one
-    would make every task keep all skipped rows, so its rows are found by position over the key
-    columns alone and joined back to the table, at most ``per_page`` rows broadcast.
+    ``order`` uses only ``key`` columns; rows of equal keys, NULL ones too, follow each other by a
+    hash of all their columns, so that pages never overlap. A shallow page is a top-n. A deep one
+    would make every task keep all skipped rows: its keys are found by position over the key columns
+    alone, the rows that have them are taken from the table, and those of the first key that belong
+    to pages before are skipped.
     """
     skip = (number - 1) * per_page
+    total_order = [*order, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
     if deep is None:
         deep = skip + per_page > MAX_TOP_ROWS
     if deep:
-        spot = number_rows(df.select(*key), order).filter(
-            (F.col("position") >= skip) & (F.col("position") < skip + per_page)
-        )
-        rows = df.join(F.broadcast(spot.select(*key)), list(key), "left_semi")
+        numbered = number_rows(df.select(*key), order)
+        spot = numbered.filter((F.col("position") >= skip) & (F.col("position") < skip + per_page))
+        spot = spot.select(*[F.col(c).alias(f"_{c}") for c in key]).distinct()
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
+        first = numbered.join(spot, same, "left_semi").agg(F.min("position")).first()[0]
+        rows = df.join(spot, same, "left_semi")
+        rows = rows.orderBy(*total_order).offset(skip - (first or 0) if first is not None else 0).limit(per_page)
     else:
-        rows = df.orderBy(*order).offset(skip).limit(per_page)
+        rows = df.orderBy(*total_order).offset(skip).limit(per_page)
     total = df.agg(F.count("*")).scalar()
     pages = F.greatest(F.lit(1), F.ceil(total / per_page)).cast("bigint")
     return rows.withColumns({"total_rows": total, "total_pages": pages})

@@ -47,20 +47,32 @@ def upsert_rules(rules: DataFrame, commands: DataFrame, seq: str = "seq") -> Dat
 
 
 def apply_rules(reviews: DataFrame, rules: DataFrame, default: str = "both") -> DataFrame:
-    """Add ``active_model``: the rule of the product, else of the category, else the global one.
+    """Add ``active_model``: the rule of the product in its category, else of the product, else of the
+    category, else the global one.
 
-    Rules are unique per key, so the joins keep one row per review. The rule frames carry no
-    broadcast hint: Spark broadcasts them below its size threshold, and AQE splits the partition
-    of a hot product or category otherwise.
+    Rules are unique per key, so the joins keep one row per review. Rules of a product and of a
+    product in a category are one frame, one row per product, so the reviews meet them in one join.
+    The rule frames carry no broadcast hint: Spark broadcasts them below its size threshold, and
+    AQE splits the partition of a hot product or category otherwise.
     """
-    product_only = rules.filter(F.col("product_id").isNotNull() & F.col("category_id").isNull())
+    of_product = (
+        rules.filter(F.col("product_id").isNotNull())
+        .groupBy("product_id")
+        .agg(
+            F.max(F.when(F.col("category_id").isNull(), F.col("active_model"))).alias("_p"),
+            F.map_from_entries(
+                F.collect_list(F.when(F.col("category_id").isNotNull(), F.struct("category_id", "active_model")))
+            ).alias("_in"),
+        )
+    )
     category_only = rules.filter(F.col("product_id").isNull() & F.col("category_id").isNotNull())
     overall = rules.filter("scope = 'global'").agg(F.max("active_model")).scalar()
+    both = F.try_element_at("_in", F.col("category_id"))
     return (
-        reviews.join(product_only.select("product_id", F.col("active_model").alias("_p")), "product_id", "left")
+        reviews.join(of_product, "product_id", "left")
         .join(category_only.select("category_id", F.col("active_model").alias("_c")), "category_id", "left")
-        .withColumn("active_model", F.coalesce("_p", "_c", overall, F.lit(default)))
-        .drop("_p", "_c")
+        .withColumn("active_model", F.coalesce(both, "_p", "_c", overall, F.lit(default)))
+        .drop("_in", "_p", "_c")
     )
 
 

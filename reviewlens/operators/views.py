@@ -133,9 +133,9 @@ def orphans(predictions: DataFrame, reviews: DataFrame) -> DataFrame:
     return predictions.join(reviews.select("review_id"), "review_id", "left_anti")
 
 
-def semi_top(df: DataFrame, top: DataFrame, key: str = "display_name") -> DataFrame:
-    """Rows whose ``key`` is in ``top``, a top-k frame and hence of bounded size."""
-    return df.join(F.broadcast(top.select(key)), key, "left_semi")
+def semi_top(df: DataFrame, top: DataFrame, keys: Sequence[str] = ("product_id", "display_name")) -> DataFrame:
+    """Rows whose ``keys`` are in ``top``; a small frame is broadcast by its size, not by a hint."""
+    return df.join(top.select(*keys), list(keys), "left_semi")
 
 
 def with_category(df: DataFrame, categories: DataFrame) -> DataFrame:

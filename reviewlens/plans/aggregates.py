@@ -36,12 +36,11 @@ def counts_by_platform(spark, sf_dir):
 @query(
     "status_snapshot",
     on_split("""
-SELECT (SELECT count(*) FROM reviews) AS raw, (SELECT count(*) FROM split) AS pred,
-  (SELECT string_agg(model || '=' || CAST(n AS VARCHAR), ',' ORDER BY model)
-   FROM (SELECT model, count(*) AS n FROM split GROUP BY model) m) AS by_model,
-  (SELECT string_agg(platform || '=' || CAST(n AS VARCHAR), ',' ORDER BY platform)
-   FROM (SELECT platform, count(*) AS n FROM reviews GROUP BY platform) p) AS by_platform,
-  CAST(1764460800 AS BIGINT) AS ts"""),
+SELECT kind, name, n, CAST(1764460800 AS BIGINT) AS ts FROM (
+  SELECT 'raw' AS kind, '' AS name, count(*) AS n FROM reviews
+  UNION ALL SELECT 'pred', '', count(*) FROM split
+  UNION ALL SELECT 'raw_platform', platform, count(*) FROM reviews GROUP BY platform
+  UNION ALL SELECT 'pred_model', model, count(*) FROM split GROUP BY model) s"""),
 )
 def status_snapshot(spark, sf_dir):
     return A.snapshot(arrivals(spark, sf_dir), split_predictions(spark, sf_dir), AS_OF)
@@ -57,11 +56,28 @@ FROM named JOIN top USING (display_name) GROUP BY display_name, pred_label_vn"""
     )
 
 
-@query("top_products_sentiment", _top_sql(SHORT))
+@query(
+    "top_products_sentiment",
+    on_eval(
+        f"""
+SELECT product_id, {SHORT} AS display_name, pred_label_vn, count(*) AS n, max(total) AS total
+FROM eval JOIN top USING (product_id, product_name) GROUP BY product_id, product_name, pred_label_vn""",
+        """
+top AS (
+  SELECT product_id, product_name, count(*) AS total FROM eval GROUP BY 1, 2
+  ORDER BY total DESC, product_name, product_id LIMIT 10
+)""",
+    ),
+)
 def top_products_sentiment(spark, sf_dir):
     return A.top_products(scored_reviews(spark, sf_dir))
 
 
+@query("top_products_display_name", _top_sql(SHORT))
+def top_products_display_name(spark, sf_dir):
+    return A.top_products(scored_reviews(spark, sf_dir), by="display")
+
+
 @query("top_products_full_name", _top_sql("product_name"))
 def top_products_full_name(spark, sf_dir):
     return A.top_products(scored_reviews(spark, sf_dir), by="full")
@@ -92,13 +108,23 @@ def category_sentiment_wide(spark, sf_dir):
 @query(
     "worst_products",
     on_eval(f"""
-SELECT {SHORT} AS display_name, count(*) AS negative_count FROM eval WHERE pred_label_vn = 'Không tốt'
-GROUP BY 1 ORDER BY negative_count DESC, display_name LIMIT 10"""),
+SELECT product_id, {SHORT} AS display_name, count(*) AS negative_count FROM eval WHERE pred_label_vn = 'Không tốt'
+GROUP BY product_id, product_name ORDER BY negative_count DESC, product_name, product_id LIMIT 10"""),
 )
 def worst_products(spark, sf_dir):
     return A.worst_products(scored_reviews(spark, sf_dir))
 
 
+@query(
+    "worst_products_display_name",
+    on_eval(f"""
+SELECT {SHORT} AS display_name, count(*) AS negative_count FROM eval WHERE pred_label_vn = 'Không tốt'
+GROUP BY 1 ORDER BY negative_count DESC, display_name LIMIT 10"""),
+)
+def worst_products_display_name(spark, sf_dir):
+    return A.worst_products(scored_reviews(spark, sf_dir), by="display")
+
+
 @query(
     "product_summary",
     on_eval("""

@@ -18,7 +18,6 @@ from reviewlens.schema import (
     MODEL_BASELINE, MODEL_TRANSFORMER, REVIEW, TOPIC_BASELINE, V1_RULES,
 )
 
-PRODUCTS = 50
 FIRST_TS = 1_762_508_000
 
 
@@ -49,21 +48,27 @@ def cycle(n: int, values: dict[int, Column | str], otherwise: Column | str) -> C
     return chosen.otherwise(otherwise)
 
 
+def product_of(doc: Column, part: DataFrame) -> Column:
+    """The part that a document is a review of."""
+    spread = F.floor(doc / 20) % part.agg(F.count("*")).scalar()
+    return F.when(doc % 7 == 3, 0).otherwise(spread).cast("bigint")
+
+
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews as they arrive, repeats included, from one scan of the documents.
 
-    Only part keys below ``PRODUCTS`` can match, and keys are unique, so the broadcast side has at
-    most that many rows at any scale.
+    Twenty documents in a row share a product, over all parts; a seventh of all reviews is of one
+    hot product.
     """
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    part = table(spark, sf_dir, "part").filter(F.col("p_partkey").between(0, PRODUCTS - 1))
-    joined = documents.join(F.broadcast(part), F.col("p_partkey") == F.col("doc_id") % PRODUCTS)
+    part = table(spark, sf_dir, "part")
+    joined = documents.withColumn("p_partkey", product_of(F.col("doc_id"), part)).join(part, "p_partkey")
     doc, text = F.col("doc_id"), F.col("text")
     pid = F.col("p_partkey").cast("string")
     again = F.explode(F.when(doc % 10 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
     name = F.concat_ws(" ", "p_name", "p_type", "p_brand", F.lit("limited collector edition no"), pid)
     values = {
-        "platform": F.lit("tiki"),
+        "platform": F.when(doc % 9 == 4, "shopee").otherwise("tiki"),
         "review_id": doc.cast("string"),
         "product_id": pid,
         "product_name": name,

@@ -171,7 +171,7 @@ def shown(predictions_: DataFrame) -> DataFrame:
 
 @query("upsert_latest", UPSERTED)
 def upsert_latest(spark, sf_dir):
-    stored = KeyedTable(spark, scratch_path(spark, "pred"), PREDICTION, ["review_id", "model"], compact_after=2)
+    stored = KeyedTable(spark, scratch_path(spark, "pred"), PREDICTION, ["review_id", "model"])
     stored.upsert(predictions(spark, sf_dir).withColumn("ts", F.lit(0)), unique=True)
     stored.upsert(arrival_predictions(spark, sf_dir))
     return shown(stored.read())
@@ -284,13 +284,17 @@ def extract_product_links(spark, sf_dir):
     return product_links(table(spark, sf_dir, "pages"))
 
 
+def write_messages(rows: DataFrame, path: str) -> None:
+    """More JSON lines in a folder of text files."""
+    rows.select(encode(rows).alias("value")).write.mode("append").text(path)
+
+
 def landed_messages(spark: SparkSession, sf_dir: str) -> str:
     """A folder of text files with every arrival as a JSON line, written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
         path = scratch_path(spark, "landing")
-        rows = arrivals(spark, sf_dir)
-        rows.select(encode(rows).alias("value")).write.text(path)
+        write_messages(arrivals(spark, sf_dir), path)
         _landed[key] = path
     return _landed[key]
 

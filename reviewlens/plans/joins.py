@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from reviewlens.functions import proba_json
 from reviewlens.operators import analytics as A
 from reviewlens.operators.models import attach_by_key, lexicon_scorer, score_with
-from reviewlens.operators.paging import newest
 from reviewlens.operators.views import orphans, pred_with_raw, review_details, semi_top, with_category
 from reviewlens.plans.catalog import query
 from reviewlens.plans.data import predictions, raw, scored_reviews, table
@@ -77,16 +76,15 @@ def orphan_predictions(spark, sf_dir):
     "semi_top_products",
     on_eval(
         """
-SELECT review_id, display_name, pred_label_vn FROM named WHERE display_name IN (SELECT display_name FROM top)""",
-        f"\nnamed AS (SELECT *, {SHORT} AS display_name FROM eval)",
-        "\ntop AS (SELECT display_name FROM named GROUP BY 1 ORDER BY count(*) DESC, display_name LIMIT 10)",
+SELECT review_id, product_id, product_name AS display_name, pred_label_vn FROM eval
+WHERE product_id IN (SELECT product_id FROM top)""",
+        "\ntop AS (SELECT product_id, product_name FROM eval GROUP BY ALL ORDER BY count(*) DESC, product_name, product_id LIMIT 10)",
     ),
 )
 def semi_top_products(spark, sf_dir):
-    named = A.with_display_name(scored_reviews(spark, sf_dir))
-    totals = named.groupBy("display_name").agg(F.count("*").alias("n"))
-    top = newest(totals, 10, [F.desc("n"), F.asc("display_name")])
-    return semi_top(named, top).select("review_id", "display_name", "pred_label_vn")
+    scored = scored_reviews(spark, sf_dir)
+    found = semi_top(A.with_display_name(scored), A.top_keys(scored))
+    return found.select("review_id", "product_id", "display_name", "pred_label_vn")
 
 
 @query(

@@ -6,12 +6,18 @@ common table expressions, in order, before ``body``.
 
 from __future__ import annotations
 
-REVIEWS = """
+from collections.abc import Sequence
+
+from reviewlens.schema import V1_RULES, V2_RULES
+
+PRODUCT = "CASE WHEN d.doc_id % 7 = 3 THEN 0 ELSE (d.doc_id // 20) % (SELECT count(*) FROM part) END"
+
+REVIEWS = f"""
 base AS (
   SELECT d.doc_id, d.text, d.lang, d.source, p.p_partkey, p.p_name, p.p_type, p.p_brand
-  FROM documents d JOIN part p ON p.p_partkey = d.doc_id % 50
+  FROM documents d JOIN part p ON p.p_partkey = {PRODUCT}
 ), one AS (
-  SELECT CAST('tiki' AS STRING) AS platform,
+  SELECT CASE WHEN doc_id % 9 = 4 THEN 'shopee' ELSE 'tiki' END AS platform,
     CAST(doc_id AS STRING) AS review_id,
     CAST(p_partkey AS STRING) AS product_id,
     p_name || ' ' || p_type || ' ' || p_brand || ' limited collector edition no ' || CAST(p_partkey AS STRING) AS product_name,
@@ -57,16 +63,12 @@ raw AS (
 )"""
 
 
-def _hits(words: str) -> str:
-    return " + ".join(
-        f"CASE WHEN position('{word}' IN lower(content)) > 0 THEN 1 ELSE 0 END" for word in words.split("|")
-    )
+def _hits(words: Sequence[str]) -> str:
+    return " + ".join(f"CASE WHEN position('{word}' IN lower(content)) > 0 THEN 1 ELSE 0 END" for word in words)
 
 
-POS_V2 = _hits("tốt|hay|đẹp|ok|ổn|good|nice|great|excellent|tuyệt")
-NEG_V2 = _hits("tệ|kém|dở|bad|poor|terrible|awful|worst|không tốt")
-POS_V1 = _hits("tốt|hay|đẹp|ok|ổn|good|nice|great|excellent")
-NEG_V1 = _hits("tệ|kém|dở|bad|poor|terrible|awful|worst")
+POS_V2, NEG_V2 = _hits(V2_RULES.positive_words), _hits(V2_RULES.negative_words)
+POS_V1, NEG_V1 = _hits(V1_RULES.positive_words), _hits(V1_RULES.negative_words)
 
 
 def rules(source: str, name: str = "scored") -> str:

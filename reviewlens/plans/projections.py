@@ -16,11 +16,12 @@ from reviewlens.operators.scoring import score_rules
 from reviewlens.operators.views import content_display, display_predictions, display_reviews, fill_reviewer
 from reviewlens.plans.catalog import query
 from reviewlens.plans.data import (
+    product_of,
     arrivals, cycle, predictions, predictions_v1, raw, split_predictions, table,
 )
 from reviewlens.plans.ingest import landed_review_pages
 from reviewlens.plans.oracle import (
-    PRED, RAW, REVIEWS, SCORED, V1, on_pred, on_reviews, on_split, on_v1, sql,
+    PRED, PRODUCT, RAW, REVIEWS, SCORED, V1, on_pred, on_reviews, on_split, on_v1, sql,
 )
 from reviewlens.schema import LABEL_TRANSLATIONS, LABELS
 from reviewlens.sources.pages import explode_pages
@@ -68,7 +69,7 @@ CATEGORY_NAME = "CASE WHEN k % 6 IN (0, 1) THEN p_type ELSE 'Unknown' END"
 @query(
     "normalize_reviews",
     f"""
-WITH j AS (SELECT d.*, p.*, d.doc_id % 50 AS k FROM documents d JOIN part p ON p.p_partkey = d.doc_id % 50)
+WITH j AS (SELECT d.*, p.*, p.p_partkey AS k FROM documents d JOIN part p ON p.p_partkey = {PRODUCT})
 SELECT 'tiki' AS platform, CASE WHEN doc_id = 0 THEN '' ELSE CAST(doc_id AS VARCHAR) END AS review_id,
   CASE WHEN k = 0 THEN '' ELSE CAST(k AS VARCHAR) END AS product_id,
   CASE WHEN k % 7 = 0 THEN '' ELSE p_name END AS product_name,
@@ -84,7 +85,8 @@ FROM j""",
 )
 def normalize_reviews(spark, sf_dir):
     api = explode_pages(landed_review_pages(spark, sf_dir), "reviews")
-    api = api.withColumn("doc_key", F.col("id") % 50).withColumn("product_id", F.col("doc_key"))
+    api = api.withColumn("doc_key", product_of(F.col("id"), table(spark, sf_dir, "part")))
+    api = api.withColumn("product_id", F.col("doc_key"))
     flat = normalize(api, products(spark, sf_dir), _source_type(), F.lit("src"), F.lit(1_762_500_000) + F.col("id"))
     return flat.withColumn("content", F.md5("content")).withColumnRenamed("content", "content_md5")
 

@@ -42,7 +42,7 @@ def publish_new_only_query(spark, sf_dir):
 COMMANDS = """
 commands AS (
   SELECT p_partkey AS seq, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_partkey AS STRING) WHEN p_partkey % 3 = 1 THEN '' END AS product_id,
-    CASE WHEN p_partkey % 3 = 1 THEN p_type WHEN p_partkey % 3 = 0 THEN '' END AS category_id,
+    CASE WHEN p_partkey % 3 = 1 OR p_partkey % 2 = 0 THEN p_type WHEN p_partkey % 3 = 0 THEN '' END AS category_id,
     CASE p_size % 3 WHEN 0 THEN 'spark-baseline' WHEN 1 THEN 'phobert' ELSE 'both' END AS active_model
   FROM part
 )"""
@@ -57,14 +57,14 @@ RULES = COMMANDS + """, rules AS (
 
 
 def rules(spark, sf_dir):
-    """The rules after a history of commands, one per part: for products, categories or all."""
+    """The rules after a history of commands, one per part: for products (also in a category), categories or all."""
     part = table(spark, sf_dir, "part")
     slot, key = F.col("p_partkey") % 3, F.col("p_partkey")
     model = F.when(F.col("p_size") % 3 == 0, "spark-baseline").when(F.col("p_size") % 3 == 1, "phobert")
     commands = part.select(
         key.alias("seq"),
         F.when(slot == 0, key.cast("string")).when(slot == 1, "").alias("product_id"),
-        F.when(slot == 1, F.col("p_type")).when(slot == 0, "").alias("category_id"),
+        F.when((slot == 1) | (key % 2 == 0), F.col("p_type")).when(slot == 0, "").alias("category_id"),
         model.otherwise("both").alias("active_model"),
     )
     return upsert_rules(spark.createDataFrame([], CONTROL_RULE), commands)
@@ -82,8 +82,9 @@ def set_rule(spark, sf_dir):
 SELECT review_id, active_model, active_model IN ('spark-baseline', 'both') AS by_baseline,
   active_model IN ('phobert', 'both') AS by_phobert
 FROM (
-  SELECT r.review_id, coalesce(p.active_model, c.active_model, g.active_model, 'both') AS active_model
-  FROM raw r LEFT JOIN rules p ON p.product_id = r.product_id AND p.category_id IS NULL
+  SELECT r.review_id, coalesce(b.active_model, p.active_model, c.active_model, g.active_model, 'both') AS active_model
+  FROM raw r LEFT JOIN rules b ON b.product_id = r.product_id AND b.category_id = r.category_id
+  LEFT JOIN rules p ON p.product_id = r.product_id AND p.category_id IS NULL
   LEFT JOIN rules c ON c.category_id = r.category_id AND c.product_id IS NULL
   LEFT JOIN rules g ON g.scope = 'global') t""",
         REVIEWS, RAW, RULES,
@@ -102,10 +103,11 @@ def apply_rules_query(spark, sf_dir):
     "rules_for_model",
     sql(
         """
-SELECT r.review_id FROM raw r LEFT JOIN rules p ON p.product_id = r.product_id AND p.category_id IS NULL
+SELECT r.review_id FROM raw r LEFT JOIN rules b ON b.product_id = r.product_id AND b.category_id = r.category_id
+  LEFT JOIN rules p ON p.product_id = r.product_id AND p.category_id IS NULL
 LEFT JOIN rules c ON c.category_id = r.category_id AND c.product_id IS NULL
 LEFT JOIN rules g ON g.scope = 'global'
-WHERE coalesce(p.active_model, c.active_model, g.active_model, 'both') IN ('phobert', 'both')""",
+WHERE coalesce(b.active_model, p.active_model, c.active_model, g.active_model, 'both') IN ('phobert', 'both')""",
         REVIEWS, RAW, RULES,
     ),
 )

@@ -10,9 +10,9 @@ from reviewlens.operators.filters import filter_content
 from reviewlens.operators.models import lexicon_scorer, resolve_failures, score_with
 from reviewlens.operators.scoring import lexicon_counts, score_neutral, score_rating, score_rules
 from reviewlens.plans.catalog import query
-from reviewlens.plans.data import arrivals, predictions, raw, table
+from reviewlens.plans.data import arrivals, predictions, raw, split_predictions, table
 from reviewlens.plans.oracle import (
-    LABEL, NEG_V2, POS_V2, PROBA, REVIEWS, on_raw, on_reviews, on_scored, on_v1, ratings, rules,
+    LABEL, NEG_V2, POS_V2, PROBA, REVIEWS, on_raw, on_reviews, on_scored, on_split, on_v1, ratings, rules,
     sql, text_rules,
 )
 from reviewlens.schema import V1_RULES
@@ -125,22 +125,39 @@ def weak_labels(spark, sf_dir):
     return ml.weak_label(raw(spark, sf_dir)).select("review_id", "rating", "label")
 
 
-@query("train_tfidf_lr")
+# What holds for any fit: what was learned from, the model's size, and that it beats guessing.
+@query(
+    "train_tfidf_lr",
+    on_raw("""
+SELECT CAST(5000 AS INT) AS features, CAST(2 AS INT) AS classes, count(*) AS labelled,
+  count(*) FILTER (WHERE rating >= 4) AS positive, TRUE AS converged_in_time, TRUE AS beats_majority
+FROM raw WHERE rating IN (1, 2, 4, 5)"""),
+)
 def train_tfidf_lr(spark, sf_dir):
-    """One row about the fitted model: size, iterations, loss, accuracy on its training rows."""
-    fitted = ml.train(raw(spark, sf_dir)).stages[-1]
+    rows = raw(spark, sf_dir)
+    fitted = ml.train(rows).stages[-1]
     seen = fitted.summary
-    row = [(fitted.numFeatures, fitted.numClasses, seen.totalIterations, seen.objectiveHistory[-1], seen.accuracy)]
-    return spark.createDataFrame(
-        row, "features int, classes int, iterations int, loss double, training_accuracy double"
+    learned = ml.weak_label(rows).agg(F.count("*").alias("labelled"), F.count_if(F.col("label") == 1).alias("positive"))
+    majority = F.greatest("positive", F.col("labelled") - F.col("positive")) / F.col("labelled")
+    return learned.select(
+        F.lit(fitted.numFeatures).cast("int").alias("features"),
+        F.lit(fitted.numClasses).cast("int").alias("classes"),
+        "labelled",
+        "positive",
+        F.lit(seen.totalIterations <= 50).alias("converged_in_time"),
+        (F.lit(seen.accuracy) >= majority).alias("beats_majority"),
     )
 
 
-@query("predict_tfidf_lr")
+@query("predict_tfidf_lr", on_raw("SELECT review_id, TRUE AS sums_to_one, TRUE AS is_argmax FROM raw"))
 def predict_tfidf_lr(spark, sf_dir):
     rows = raw(spark, sf_dir)
+    total = F.aggregate("proba", F.lit(0.0), lambda s, x: s + x)
+    most = F.array_position(F.col("proba"), F.array_max("proba")) - 1
     return ml.predict(ml.train(rows), rows).select(
-        "review_id", F.col("prediction").cast("int").alias("pred_label"), R.proba_json(F.col("proba")).alias("proba")
+        "review_id",
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+        (F.col("prediction").cast("int") == most).alias("is_argmax"),
     )
 
 
@@ -150,19 +167,19 @@ def _labelled(spark, sf_dir):
 
 @query(
     "evaluate_accuracy",
-    on_scored("""
-SELECT count(*) AS n, avg(CASE WHEN pred_label = (CASE WHEN rating <= 2 THEN 0 ELSE 1 END) THEN 1.0 ELSE 0.0 END) AS accuracy
-FROM scored WHERE length(content) > 3 AND rating IN (1, 2, 4, 5)"""),
+    on_split("""
+SELECT model, count(*) AS n, avg(CASE WHEN pred_label = (CASE WHEN rating <= 2 THEN 0 ELSE 1 END) THEN 1.0 ELSE 0.0 END) AS accuracy
+FROM split WHERE rating IN (1, 2, 4, 5) GROUP BY model"""),
 )
 def evaluate_accuracy(spark, sf_dir):
-    return ml.evaluate(predictions(spark, sf_dir), _labelled(spark, sf_dir))
+    return ml.evaluate(split_predictions(spark, sf_dir), _labelled(spark, sf_dir))
 
 
 @query(
     "confusion_counts",
-    on_scored("""
-SELECT CASE WHEN rating <= 2 THEN 0 ELSE 1 END AS label, CAST(pred_label AS INT) AS pred_label, count(*) AS n
-FROM scored WHERE length(content) > 3 AND rating IN (1, 2, 4, 5) GROUP BY 1, 2"""),
+    on_split("""
+SELECT model, CASE WHEN rating <= 2 THEN 0 ELSE 1 END AS label, CAST(pred_label AS INT) AS pred_label, count(*) AS n
+FROM split WHERE rating IN (1, 2, 4, 5) GROUP BY 1, 2, 3"""),
 )
 def confusion_counts(spark, sf_dir):
-    return ml.confusion(predictions(spark, sf_dir), _labelled(spark, sf_dir))
+    return ml.confusion(split_predictions(spark, sf_dir), _labelled(spark, sf_dir))

@@ -6,8 +6,8 @@ from pyspark.sql import SparkSession, functions as F
 
 from reviewlens.operators.models import lexicon_scorer
 from reviewlens.plans.catalog import query
-from reviewlens.plans.data import raw
-from reviewlens.plans.ingest import UPSERTED, landed_messages, shown
+from reviewlens.plans.data import arrivals, raw
+from reviewlens.plans.ingest import UPSERTED, landed_messages, shown, write_messages
 from reviewlens.plans.oracle import LABEL, LAST, ODD, REVIEWS, arrivals_scored, on_raw, on_reviews, sql, text_rules
 from reviewlens.schema import PREDICTION, REVIEW, TOPIC_BASELINE, TOPIC_TRANSFORMER
 from reviewlens.session import scratch_path
@@ -107,6 +107,32 @@ def run_both(spark, sf_dir):
     return stored.read().groupBy("model").agg(F.count("*").alias("n"))
 
 
+def _arrive(spark, sf_dir, last: str):
+    """Two versions of some reviews in one batch, by default prediction time: the one that came last stays."""
+    folder, rows = scratch_path(spark, "versions"), arrivals(spark, sf_dir)
+    again = F.col("crawled_at") >= 1_762_600_000
+    for part in (again, ~again) if last == "first" else (~again, again):
+        write_messages(rows.filter(part), folder)
+    stored = _predictions_table(spark)
+    J.start_baseline(
+        read_review_stream(spark, "text", folder), stored, _checkpoint(spark), trigger=ONCE
+    ).awaitTermination()
+    return stored.read().select(F.lit(last).alias("last"), "review_id", "rating", "pred_label")
+
+
+@query(
+    "last_arrival_wins",
+    arrivals_scored("""
+SELECT last, review_id, rating, CAST(pred_label AS INT) AS pred_label FROM (
+  SELECT *, row_number() OVER (PARTITION BY last, review_id
+    ORDER BY CASE WHEN last = 'again' THEN crawled_at ELSE -crawled_at END DESC) AS rn
+  FROM scored, (VALUES ('first'), ('again')) v(last) WHERE length(content) > 3) t
+WHERE rn = 1"""),
+)
+def last_arrival_wins(spark, sf_dir):
+    return _arrive(spark, sf_dir, "first").unionByName(_arrive(spark, sf_dir, "again"))
+
+
 @query("resume_and_replay", UPSERTED)
 def resume_and_replay(spark, sf_dir):
     """A run, a resumed run that finds nothing new, and a full replay from a fresh checkpoint."""
@@ -120,10 +146,8 @@ def resume_and_replay(spark, sf_dir):
 
 @query("micro_batching", UPSERTED)
 def micro_batching(spark, sf_dir):
-    """Several small batches instead of one: a quarter of the landed files each."""
-    landed = landed_messages(spark, sf_dir)
-    files = len(spark.read.text(landed).inputFiles())
-    source, trigger = J.trigger_opts("text", available_now=True, max_files=max(1, -(-files // 4)))
+    """One file per batch instead of one batch."""
+    source, trigger = J.trigger_opts("text", available_now=True)
     stored = _predictions_table(spark)
     J.start_baseline(
         _messages(spark, sf_dir, **source), stored, _checkpoint(spark), ts=_crawl_time(), trigger=trigger
@@ -192,18 +216,28 @@ SELECT count(*) AS input_rows, count(*) FILTER (WHERE length(content) > 3) AS pr
 FROM reviews"""),
 )
 def progress_metrics(spark, sf_dir):
+    """Several batches, recorded twice: each counts once."""
+    source, trigger = J.trigger_opts("text", available_now=True)
     running = J.start_baseline(
-        _messages(spark, sf_dir), _predictions_table(spark), _checkpoint(spark), ts=_crawl_time(), trigger=ONCE
+        _messages(spark, sf_dir, **source), _predictions_table(spark), _checkpoint(spark), ts=_crawl_time(),
+        trigger=trigger,
     )
     running.awaitTermination()
     metrics = scratch_path(spark, "metrics")
-    J.record_progress(spark, running, metrics)
+    for _ in range(2):
+        J.record_progress(spark, J.progress(spark, running), metrics)
     totals = [F.sum(name).alias(name) for name in ("processed", "skipped", "errors")]
     fed = F.sum(F.col("processed") + F.col("skipped") + F.col("errors")).alias("input_rows")
     return spark.read.parquet(metrics).agg(fed, *totals)
 
 
-@query("refit_incremental")
+@query(
+    "refit_incremental",
+    on_reviews("""
+SELECT count(*) AS labelled, CAST(5000 AS INT) AS features FROM (
+  SELECT review_id, min_by(rating, crawled_at) AS rating FROM reviews
+  WHERE length(content) > 3 AND rating IN (1, 2, 4, 5) GROUP BY review_id) t"""),
+)
 def refit_incremental(spark, sf_dir):
     """One row per model saved while the stream ran: its batch and size."""
     from pyspark.ml import PipelineModel
@@ -211,7 +245,7 @@ def refit_incremental(spark, sf_dir):
     models = scratch_path(spark, "models")
     labelled = KeyedTable(spark, scratch_path(spark, "labelled"), REVIEW, ["review_id"], order=None)
     J.start_refit(
-        _messages(spark, sf_dir), labelled, models, _checkpoint(spark), trigger=ONCE, max_iter=10
+        _messages(spark, sf_dir), labelled, models, _checkpoint(spark), trigger=ONCE, every=1, max_iter=10
     ).awaitTermination()
     fitted = PipelineModel.load(f"{models}/batch=000000000").stages[-1]
     return labelled.read().agg(F.count("*").alias("labelled"), F.lit(fitted.numFeatures).alias("features"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reviewlens.operators.evaluate import computed_once
 from reviewlens.schema import REVIEW
 
-INTEGER_TYPES = ("BIGINT", "DECIMAL(1,0)", "DECIMAL(2,0)")
+NUMBER = "^(BIGINT|INT|DECIMAL|DOUBLE|FLOAT)"
 
 
 def _get(path: str, kind: str = "string") -> Column:
@@ -29,22 +29,28 @@ def decode_reviews(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """The review columns and ``reject_reason``, NULL for a good record.
 
     A record must be one JSON object whose content is a text. A missing rating stays NULL, and the
-    scorers count it as their default; an explicit null or a non-integer rating is an error. A
-    missing content is an empty text, which the length filter drops.
+    scorers count it as their default; an explicit null or a rating that is no number is an error.
+    A rating between whole numbers is stored as the whole number on which every scoring rule says
+    the same: 4.5 as 4, 1.5 as 2, anything between 2 and 4 as 3. A missing content is an empty
+    text, which the length filter drops.
     """
     parsed = _parse(messages, value_col)
     only = F.try_variant_get("_json", "$[0]", "variant")
     second = F.try_variant_get("_json", "$[1]", "variant")
     content_type, rating_type = _type_of("content"), _type_of("rating")
-    whole = rating_type.isin(*INTEGER_TYPES)
+    number = _get("rating", "double")
+    rating = F.when(number >= 4, F.floor(number)).when(number <= 2, F.ceil(number)).when(number.isNotNull(), 3)
     reason = (
         F.when(only.isNull() | second.isNotNull(), "malformed")
         .when(~F.schema_of_variant(only).startswith("OBJECT<"), "not_object")
         .when(content_type != "STRING", "bad_content")
         .when(rating_type == "VOID", "null_rating")
-        .when(rating_type.isNotNull() & ~whole, "bad_rating")
+        .when(~rating_type.rlike(NUMBER), "bad_rating")
     )
-    special = {"content": F.coalesce(_get("content"), F.lit(""))}
+    special = {
+        "content": F.coalesce(_get("content"), F.lit("")),
+        "rating": F.when(rating_type.rlike(NUMBER), rating).cast("int"),
+    }
     fields = [
         special.get(f.name, _get(f.name, f.dataType.simpleString())).alias(f.name) for f in REVIEW.fields
     ]

@@ -1,15 +1,10 @@
-"""Stored tables: plain parquet, and keyed parquet tables for insert-once and upsert.
-
-A keyed table spreads its rows over hash buckets. Every write adds files under a fresh folder and
-then one manifest, which names the folders each bucket consists of. Readers use the newest
-manifest, so they see all of a write or none of it, and no file in use is ever changed. A manifest
-also records the last micro-batch of each stream it contains, so that a batch repeated after a
-failure is recognised.
-
-A write appends its (small) batch to the buckets it touches instead of rewriting them. Reading
-keeps the last write per key in the buckets that have several parts. A write that brings a bucket
-to ``compact_after`` parts of the same level merges those into one part of the next level, so a row
-is rewritten a logarithmic number of times, however small the batches are.
+"""Stored tables: plain parquet, keyed parquet tables, and ``MERGE INTO`` for catalogs that offer it.
+
+A keyed table spreads its rows over hash buckets, each a folder of parquet files with one row per
+key. A write reads the buckets it touches, adds its rows, keeps the last per key and writes these
+buckets anew; then one small file, replaced as a whole, points to the live folder of each bucket.
+Readers need no shuffle and see all of a write or none of it. The folders of the version before
+stay for readers under way; older ones are deleted. One process at a time may write a table.
 """
 
 from __future__ import annotations
@@ -21,9 +16,9 @@ from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from reviewlens.operators.keyed import insert_new, last_by
+from reviewlens.operators.keyed import first_by, last_by, new_only
 
 BUCKET, VERSION = "_bucket", "_version"
 Batch = tuple[str, int]
@@ -35,6 +30,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def merge_into(spark: SparkSession, target: str, changes: DataFrame, keys: Sequence[str], order: str) -> None:
+    """Upsert into a catalog table that supports ``MERGE INTO``; ``changes`` has one row per key."""
+    changes.createOrReplaceTempView("_changes")
+    match = " AND ".join(f"t.`{k}` <=> c.`{k}`" for k in keys)
+    spark.sql(
+        f"MERGE INTO {target} t USING _changes c ON {match} "
+        f"WHEN MATCHED AND c.`{order}` >= t.`{order}` THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
+
+
 class KeyedTable:
     """A bucketed parquet table.
 
@@ -51,134 +56,125 @@ class KeyedTable:
         keys: Sequence[str],
         order: Sequence[str] | None = ("ts",),
         buckets: int = 16,
-        compact_after: int = 8,
     ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        if compact_after < 2:
-            raise ValueError("compact_after must be at least 2")
         self.keys, self.order = list(keys), None if order is None else list(order)
-        self.buckets, self.compact_after = buckets, compact_after
+        self.buckets = buckets
         self._jvm = spark._jvm
-        self._fs = self._file("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._file("").getFileSystem(self._conf)
         self._lock = _locks[self.path]
 
-    # manifests
+    # the pointer
 
     def _file(self, name: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
 
-    def versions(self) -> list[int]:
-        folder = self._file("manifests")
-        if not self._fs.exists(folder):
-            return []
-        names = (status.getPath().getName() for status in self._fs.listStatus(folder))
-        return sorted(int(name[:-5]) for name in names if name.endswith(".json") and name[0] != ".")
-
-    def manifest(self, version: int | None = None) -> dict:
-        """The newest manifest or that of ``version``: live parts per bucket, what the write added."""
-        if version is None:
-            versions = self.versions()
-            if not versions:
-                return {"version": 0, "buckets": {}, "added": {}, "batches": {}}
-            version = versions[-1]
-        stream = self._fs.open(self._file(f"manifests/{version:012d}.json"))
+    def live(self) -> dict:
+        """The pointer: the live folder per bucket, those of the version before, the last batch per stream."""
+        pointer = self._file("live.json")
+        if not self._fs.exists(pointer):
+            return {"version": 0, "buckets": {}, "before": [], "batches": {}}
+        stream = self._fs.open(pointer)
         try:
             return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _commit(self, manifest: dict) -> None:
-        """Publish a manifest; fails if another writer published that version first."""
-        staged = self._file(f"manifests/.{uuid.uuid4().hex}")
-        target = self._file(f"manifests/{manifest['version']:012d}.json")
+    def _point(self, live: dict) -> None:
+        staged = self._file(f"{uuid.uuid4().hex}.json")
         stream = self._fs.create(staged, False)
         try:
-            stream.write(bytearray(json.dumps(manifest).encode()))
+            stream.write(bytearray(json.dumps(live).encode()))
         finally:
             stream.close()
-        if self._fs.exists(target) or not self._fs.rename(staged, target):
-            raise RuntimeError(f"another writer changed {self.path}; run the write again")
+        rename = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._conf)
+        context.rename(staged, self._file("live.json"), options)
+
+    def _forget(self, live: dict) -> None:
+        """Delete the folders that neither the live version nor the one before consists of."""
+        kept = {*live["buckets"].values(), *live["before"]}
+        if not self._fs.exists(self._file("data")):
+            return
+        for folder in self._fs.listStatus(self._file("data")):
+            version = folder.getPath().getName()
+            if not any(k.startswith(f"{version}/") for k in kept):
+                self._fs.delete(folder.getPath(), True)
 
     @staticmethod
-    def _applied(manifest: dict, batch: Batch | None) -> bool:
-        return batch is not None and manifest["batches"].get(batch[0], -1) >= batch[1]
+    def _applied(live: dict, batch: Batch | None) -> bool:
+        return batch is not None and live["batches"].get(batch[0], [-1])[0] >= batch[1]
 
     # reading
 
-    def _load(self, parts: dict[str, list[str]]) -> DataFrame:
-        paths = [f"{self.path}/data/{part}/{BUCKET}={bucket}" for bucket, names in parts.items() for part in names]
+    def _load(self, folders: Sequence[str]) -> DataFrame:
         stored = StructType([*self.schema.fields, StructField(VERSION, LongType())])
-        return self.spark.read.schema(stored).parquet(*paths) if paths else self.spark.createDataFrame([], stored)
-
-    def _live(self, parts: dict[str, list[str]]) -> DataFrame:
-        """The live rows of some buckets; a bucket that has one part needs no shuffle."""
-        mixed = {bucket: names for bucket, names in parts.items() if len(names) > 1}
-        if self.order is None or not mixed:
-            return self._load(parts)
-        merged = last_by(self._load(mixed), self.keys, [*self.order, VERSION])
-        clean = {bucket: names for bucket, names in parts.items() if len(names) == 1}
-        return merged.unionByName(self._load(clean)) if clean else merged
+        if not folders:
+            return self.spark.createDataFrame([], stored)
+        return self.spark.read.schema(stored).parquet(*[f"{self.path}/data/{name}" for name in folders])
 
     def read(self) -> DataFrame:
-        return self._live(self.manifest()["buckets"]).drop(VERSION)
+        return self._load([*self.live()["buckets"].values()]).drop(VERSION)
+
+    def _added(self, version: int) -> DataFrame:
+        """The rows that a write brought and that are still live."""
+        return self._load([*self.live()["buckets"].values()]).filter(F.col(VERSION) == version).drop(VERSION)
 
     # writing
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-
-    def _stored_near(self, rows: DataFrame) -> DataFrame:
-        """The live rows of the buckets that ``rows`` fall into: a small batch reads few of them."""
-        touched = rows.select(self._bucket().cast("string").alias("b")).distinct().collect()
-        live = self.manifest()["buckets"]
-        return self._live({r.b: live[r.b] for r in touched if r.b in live}).drop(VERSION)
-
-    def _write(self, rows: DataFrame, version: int, level: int = 0) -> dict[str, list[str]]:
-        """Write rows under a fresh folder; returns the part per bucket."""
-        part = f"{version:012d}-{uuid.uuid4().hex[:8]}-L{level}"
-        # Rebalancing gives each bucket its own tasks, few files, and splits a bucket that is too big.
-        placed = rows.withColumn(BUCKET, self._bucket()).hint("rebalance", F.col(BUCKET))
-        placed.write.partitionBy(BUCKET).parquet(f"{self.path}/data/{part}")
-        names = (s.getPath().getName() for s in self._fs.listStatus(self._file(f"data/{part}")))
-        return {name.split("=", 1)[1]: [part] for name in names if name.startswith(f"{BUCKET}=")}
-
-    def _store(self, rows: DataFrame, batch: Batch | None) -> dict:
-        """Write rows as the next version; returns its manifest."""
-        manifest = self.manifest()
-        version, buckets = manifest["version"] + 1, manifest["buckets"]
+    def _store(self, rows: DataFrame, batch: Batch | None, new_keys_only: bool = False) -> int:
+        """Bring ``rows`` into the buckets they fall into; returns the new version."""
+        live = self.live()
+        version = live["version"] + 1
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        added = self._write(rows.select(*columns, F.lit(version).cast("bigint").alias(VERSION)), version)
-        for bucket, parts in added.items():
-            buckets[bucket] = buckets.get(bucket, []) + parts
-        self._compact(buckets, list(added), version)
-        batches = manifest["batches"] | ({batch[0]: batch[1]} if batch else {})
-        committed = {"version": version, "buckets": buckets, "added": added, "batches": batches}
-        self._commit(committed)
-        return committed
-
-    def _compact(self, buckets: dict[str, list[str]], touched: list[str], version: int, level: int = 0) -> None:
-        """Merge the parts of ``level`` of the buckets that have enough of them, then go one level up."""
-        ripe = {bucket: [p for p in buckets[bucket] if p.endswith(f"-L{level}")] for bucket in touched}
-        ripe = {bucket: parts for bucket, parts in ripe.items() if len(parts) >= self.compact_after}
-        if not ripe:
-            return
-        merged = self._write(self._live(ripe), version, level + 1)
-        for bucket, parts in ripe.items():
-            buckets[bucket] = [p for p in buckets[bucket] if p not in parts] + merged.get(bucket, [])
-        self._compact(buckets, list(ripe), version, level + 1)
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        placed = rows.select(*columns).withColumn(VERSION, F.lit(version).cast("bigint")).withColumn(BUCKET, bucket)
+        placed = placed.persist()  # computed once for both uses below
+        try:
+            touched = [r[0] for r in placed.select(BUCKET).distinct().collect()]
+            old = self._load([live["buckets"][str(b)] for b in touched if str(b) in live["buckets"]])
+            if new_keys_only:
+                placed_new = new_only(placed, old, self.keys)
+            else:
+                placed_new = placed
+            # One shuffle by bucket serves the choice per key and leaves each bucket in one task.
+            every = old.withColumn(BUCKET, bucket).unionByName(placed_new).repartition(self.buckets, BUCKET)
+            if self.order is not None:
+                every = last_by(every, [BUCKET, *self.keys], [*self.order, VERSION])
+            name = f"v{version:09d}-{uuid.uuid4().hex[:8]}"
+            schema = StructType([*self.schema.fields, StructField(VERSION, LongType()), StructField(BUCKET, IntegerType())])
+            every.select(*schema.names).write.partitionBy(BUCKET).parquet(f"{self.path}/data/{name}")
+        finally:
+            placed.unpersist()
+        found = (s.getPath().getName() for s in self._fs.listStatus(self._file(f"data/{name}")))
+        written = {f.split("=", 1)[1]: f"{name}/{f}" for f in found if f.startswith(f"{BUCKET}=")}
+        after = {
+            "version": version,
+            "buckets": live["buckets"] | written,
+            "before": [*live["buckets"].values()],
+            "batches": live["batches"] | ({batch[0]: [batch[1], version]} if batch else {}),
+        }
+        self._point(after)
+        self._forget(after)
+        return version
 
     def upsert(self, changes: DataFrame, batch: Batch | None = None, unique: bool = False) -> bool:
         """Apply ``changes``, last write wins. ``batch`` is (stream name, batch id).
 
-        ``unique`` says that ``changes`` has one row per key, which saves a shuffle. Returns False,
-        and changes nothing, if the batch had been applied before.
+        A column ``seq`` of ``changes`` decides between changes of equal order. ``unique`` says that
+        ``changes`` has one row per key, which saves a shuffle. Returns False, and changes nothing,
+        if the batch had been applied before.
         """
         if self.order is None:
             raise ValueError("this table has no order of writes")
         with self._lock:
-            if self._applied(self.manifest(), batch):
+            if self._applied(self.live(), batch):
                 return False
-            self._store(changes if unique else last_by(changes, self.keys, self.order), batch)
+            order = [*self.order, *(["seq"] if "seq" in changes.columns else [])]
+            self._store(changes if unique else last_by(changes, self.keys, order), batch)
             return True
 
     def insert(self, new: DataFrame, order: Sequence[Column | str], batch: Batch | None = None) -> DataFrame:
@@ -187,30 +183,31 @@ class KeyedTable:
         A batch applied before adds nothing and returns the rows it added then.
         """
         with self._lock:
-            if not self._applied(self.manifest(), batch):
-                filled = new.na.fill("", subset=self.keys)
-                fresh = insert_new(filled, self._stored_near(filled), self.keys, order)
-                committed = self._store(fresh, batch)
-                return self._load(committed["added"]).drop(VERSION)
-            for version in reversed(self.versions()):
-                manifest = self.manifest(version)
-                before = self.manifest(version - 1) if version > 1 else {"batches": {}}
-                if manifest["batches"].get(batch[0]) == batch[1] != before["batches"].get(batch[0]):
-                    return self._load(manifest["added"]).drop(VERSION)
-            return self._load({}).drop(VERSION)
+            live = self.live()
+            if self._applied(live, batch):
+                applied, version = live["batches"][batch[0]]
+                return self._added(version if applied == batch[1] else -1)
+            filled = new.na.fill("", subset=self.keys)
+            return self._added(self._store(first_by(filled, self.keys, order), batch, new_keys_only=True))
 
     def append(self, rows: DataFrame, batch: Batch | None = None) -> bool:
         """Add rows as they are, whatever their keys."""
         with self._lock:
-            if self._applied(self.manifest(), batch):
+            if self._applied(self.live(), batch):
                 return False
             self._store(rows, batch)
             return True
 
     def clear(self) -> int:
-        """Empty the table; returns how many rows it had. Streams keep their place."""
+        """Empty the table and delete its files; returns how many rows it had. Streams keep their place."""
         with self._lock:
             removed = self.read().count()
-            manifest = self.manifest()
-            self._commit({**manifest, "version": manifest["version"] + 1, "buckets": {}, "added": {}})
+            live = self.live()
+            self._point({**live, "version": live["version"] + 1, "buckets": {}, "before": []})
+            self._fs.delete(self._file("data"), True)
             return removed
+
+
+def clear_all(*tables: KeyedTable) -> list[int]:
+    """Clear several tables, such as reviews and predictions; returns the rows each had."""
+    return [table.clear() for table in tables]

@@ -13,9 +13,10 @@ REPLAY_COLUMNS = ("product_id", "category_id", "rating", "title", "content", "cr
 def read_review_stream(
     spark: SparkSession, fmt: str, source: str, starting: str = "earliest", **options
 ) -> DataFrame:
-    """A stream with one ``value`` string column.
+    """A stream with a ``value`` string column and its place in the order of arrival, ``seq``.
 
-    ``fmt`` is ``kafka`` (``source`` is the topic; pass ``kafka__bootstrap__servers`` and, for
+    ``seq`` is a struct that grows with arrival: time, topic partition or file, and the offset; lines
+    of one file share it and come in order. ``fmt`` is ``kafka`` (``source`` is the topic; pass ``kafka__bootstrap__servers`` and, for
     micro-batch size, ``maxOffsetsPerTrigger``) or ``text`` (``source`` is a folder, whose files are
     one message per line).
     """
@@ -24,8 +25,17 @@ def read_review_stream(
         reader = reader.option(name.replace("__", "."), value)
     if fmt == "kafka":
         reader = reader.option("subscribe", source).option("startingOffsets", starting)
-        return reader.load().select(F.col("value").cast("string").alias("value"))
-    return reader.load(source).select("value")
+        place = F.struct(
+            F.col("timestamp").alias("at"), F.col("partition").cast("string").alias("part"), F.col("offset").alias("pos")
+        )
+        return reader.load().select(F.col("value").cast("string").alias("value"), place.alias("seq"))
+    file = F.col("_metadata")
+    place = F.struct(
+        file["file_modification_time"].alias("at"),
+        F.concat(file["file_path"], F.lit(":"), F.lpad(file["file_block_start"].cast("string"), 20, "0")).alias("part"),
+        F.lit(0).cast("bigint").alias("pos"),
+    )
+    return reader.load(source).select("value", place.alias("seq"))
 
 
 def routed_messages(reviews: DataFrame) -> DataFrame:
@@ -33,7 +43,7 @@ def routed_messages(reviews: DataFrame) -> DataFrame:
     return route(reviews).select("topic", encode(reviews).alias("value"))
 
 
-def write_routed(reviews: DataFrame, fmt: str, path: str, **options) -> None:
+def write_routed(reviews: DataFrame, fmt: str, path: str, mode: str = "append", **options) -> None:
     """Publish each review as UTF-8 JSON on its topic: a broker, or one sub-folder per topic."""
     writer = routed_messages(reviews).write.format(fmt)
     for name, value in options.items():
@@ -41,7 +51,7 @@ def write_routed(reviews: DataFrame, fmt: str, path: str, **options) -> None:
     if fmt == "kafka":
         writer.save()
     else:
-        writer.partitionBy("topic").mode("append").save(path)
+        writer.partitionBy("topic").mode(mode).save(path)
 
 
 def replay(reviews: DataFrame) -> DataFrame:

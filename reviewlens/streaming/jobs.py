@@ -11,21 +11,21 @@ import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from reviewlens.operators import analytics, ml
 from reviewlens.operators.documents import to_prediction
 from reviewlens.operators.filters import filter_content
+from reviewlens.operators.keyed import last_by
 from reviewlens.operators.models import ScorerFactory, failed, resolve_failures, score_with
 from reviewlens.operators.scoring import score_rules
-from reviewlens.schema import LABELS, MODEL_BASELINE, MODEL_TRANSFORMER, V2_RULES, RuleSpec
-from reviewlens.sources.decode import decode_reviews, good
+from reviewlens.schema import LABELS, MODEL_BASELINE, MODEL_TRANSFORMER, REVIEW, V2_RULES, RuleSpec
+from reviewlens.sources.decode import decode_reviews, encode, good
 from reviewlens.sources.tables import KeyedTable
-from reviewlens.sources.topics import routed_messages
+from reviewlens.sources.topics import write_routed
 
 OUTCOMES = "outcomes"
 
@@ -64,14 +64,33 @@ def _start(df: DataFrame, apply: Callable[[DataFrame, int], None], name: str, ch
     )
 
 
-def _write_errors(rows: DataFrame, path: str | None, batch_id: int) -> None:
-    """Rejected rows of one batch; a repeated batch replaces its own folder."""
-    if path is not None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id:09d}")
+def _write_errors(rows: DataFrame, path: str, batch_id: int) -> None:
+    """``review_id, reject_reason, raw_value`` of one batch's rejected messages, as they came or, for
+    reviews that were not scored, as they can be sent again; a repeated batch replaces its own folder."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id:09d}")
 
 
 def _decoded(messages: DataFrame) -> DataFrame:
-    return decode_reviews(messages).observe(OUTCOMES, *analytics.outcome_metrics())
+    """Decoded messages; a rejected one keeps its text in ``raw_value``."""
+    decoded = decode_reviews(messages.withColumn("raw_value", F.col("value")))
+    kept = F.when(F.col("reject_reason").isNotNull(), F.col("raw_value"))
+    return decoded.withColumn("raw_value", kept).observe(OUTCOMES, *analytics.outcome_metrics())
+
+
+def _rejected(batch: DataFrame) -> DataFrame:
+    return batch.filter("reject_reason is not null").select("review_id", "reject_reason", "raw_value")
+
+
+def _last_arrivals(scored: DataFrame, stamp: Column) -> DataFrame:
+    """The last version of each review in a batch: by prediction time, then by arrival."""
+    numbered, order = _in_order(scored.withColumn("_stamp", stamp.cast("bigint")))
+    return last_by(numbered, ["review_id"], ["_stamp", *order])
+
+
+def _in_order(batch: DataFrame) -> tuple[DataFrame, list[str]]:
+    """A batch and the columns that order it by arrival: a task reads a file's lines one after the other."""
+    numbered = batch.withColumn("_line", F.monotonically_increasing_id())
+    return numbered, [*(["seq"] if "seq" in batch.columns else []), "_line"]
 
 
 def start_baseline(
@@ -86,16 +105,18 @@ def start_baseline(
 ) -> StreamingQuery:
     """Decode, drop short reviews, score by rules, upsert predictions.
 
-    ``ts`` is the prediction time in epoch seconds, by default that of the batch. Rejected messages
-    go to ``errors`` if given.
+    ``ts`` is the prediction time in epoch seconds, by default that of the batch; of versions with
+    the same time the one that arrived last is kept. Rejected messages go to ``errors``, by default
+    a folder beside the checkpoint.
     """
+    rejects = errors or f"{checkpoint}.rejected"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         stamp = ts if ts is not None else F.unix_timestamp()
         with _cached(batch) as rows:
-            scored = score_rules(filter_content(good(rows)), spec)
-            table.upsert(to_prediction(scored, MODEL_BASELINE, stamp), (checkpoint, batch_id))
-            _write_errors(rows.filter("reject_reason is not null"), errors, batch_id)
+            scored = _last_arrivals(score_rules(filter_content(good(rows)), spec), stamp)
+            table.upsert(to_prediction(scored, MODEL_BASELINE, F.col("_stamp")), (checkpoint, batch_id), unique=True)
+            _write_errors(_rejected(rows), rejects, batch_id)
 
     return _start(_decoded(messages), apply, name, checkpoint, trigger or trigger_opts()[1])
 
@@ -114,37 +135,46 @@ def start_model(
 ) -> StreamingQuery:
     """As ``start_baseline`` with a Python model.
 
-    An unusable answer is replaced by the rating rule. While the model is unreachable, its rows go
-    to ``errors`` and are not saved.
+    An unusable answer is replaced by the rating rule. While the model is unreachable, its reviews
+    go to ``errors``, as messages that can be sent again, and are not saved.
     """
+    rejects = errors or f"{checkpoint}.rejected"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         stamp = ts if ts is not None else F.unix_timestamp()
         decoded = filter_content(good(batch))
         with _cached(score_with(decoded, scorer_factory, batch_size, labels)) as scored:
-            table.upsert(to_prediction(resolve_failures(scored), MODEL_TRANSFORMER, stamp), (checkpoint, batch_id))
-            if errors is not None:
-                unsaved = failed(scored).select("review_id", F.lit("unavailable").alias("reject_reason"))
-                rejected = batch.filter("reject_reason is not null").select("review_id", "reject_reason")
-                _write_errors(unsaved.unionByName(rejected), errors, batch_id)
+            saved = _last_arrivals(resolve_failures(scored), stamp)
+            table.upsert(to_prediction(saved, MODEL_TRANSFORMER, F.col("_stamp")), (checkpoint, batch_id), unique=True)
+            lost = failed(scored)
+            unsaved = lost.select(
+                "review_id", F.lit("unavailable").alias("reject_reason"),
+                encode(lost.select(*REVIEW.names)).alias("raw_value"),
+            )
+            _write_errors(unsaved.unionByName(_rejected(batch)), rejects, batch_id)
 
     return _start(_decoded(messages), apply, name, checkpoint, trigger or trigger_opts()[1])
 
 
 def start_ingest(
     messages: DataFrame, table: KeyedTable, out: str, checkpoint: str, trigger: dict | None = None,
-    name: str = "ingest",
+    name: str = "ingest", fmt: str = "text", errors: str | None = None, **options,
 ) -> StreamingQuery:
-    """Store each review once and publish the new ones, as text under ``out/batch=<n>/topic=<t>``.
+    """Store each review once and publish the new ones.
 
-    The table decides what is new, so a repeat that arrives much later is still recognised.
+    They go to files of ``fmt`` under ``out/batch=<n>/topic=<t>``, or with ``kafka`` to their topics
+    (``options`` as for ``write_routed``). The table decides what is new, so a repeat that arrives
+    much later is still recognised. Rejected messages go to ``errors``, by default a folder beside
+    the checkpoint.
     """
+    rejects = errors or f"{checkpoint}.rejected"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        with _cached(good(batch)) as rows:
-            added = table.insert(rows, ["crawled_at"], (checkpoint, batch_id))
-            messages_out = routed_messages(added)
-            messages_out.write.mode("overwrite").partitionBy("topic").text(f"{out}/batch={batch_id:09d}")
+        with _cached(batch) as rows:
+            numbered, arrived = _in_order(good(rows).drop("raw_value"))
+            added = table.insert(numbered, ["crawled_at", *arrived], (checkpoint, batch_id))
+            write_routed(added, fmt, f"{out}/batch={batch_id:09d}", mode="overwrite", **options)
+            _write_errors(_rejected(rows), rejects, batch_id)
 
     return _start(_decoded(messages), apply, name, checkpoint, trigger or trigger_opts()[1])
 
@@ -180,6 +210,7 @@ def start_trend(
 
 
 BURST = "product_id string, review_id string, ts bigint, burst_start bigint"
+BURST_STATE = "past array<bigint>, times array<bigint>, ids array<string>, owns array<bigint>"
 
 
 def burst_stream(
@@ -189,43 +220,51 @@ def burst_stream(
     """The streaming form of ``negative_burst``, per product.
 
     As there, a negative goes to its own time slice of ``within_seconds`` and to the next, so that a
-    group is one product in two slices, however much of the stream that product makes up. Its state
-    is the last ``n - 1`` times, dropped once the watermark has passed the slice. Rows of a
-    micro-batch are put in time order first; rows behind the watermark are dropped.
+    group is one product in two slices, however much of the stream that product makes up. Rows wait
+    in the group's state until the watermark has passed them, when none can come before them any
+    more, and are then taken in time order; besides them the state is the last ``n - 1`` times. Rows
+    behind the watermark are dropped.
     """
 
     if n < 2:
         raise ValueError("a burst has at least two reviews")
 
     def detect(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        time_slice, watermark = int(key[1]), state.getCurrentWatermarkMs()
+        past, times, ids, owns = (list(x) for x in state.get) if state.exists else ([], [], [], [])
+        if not state.hasTimedOut:
+            for rows in frames:
+                times += rows["ts"].tolist()
+                ids += rows["review_id"].tolist()
+                owns += rows["own"].tolist()
+        order = sorted(range(len(times)), key=lambda i: (times[i], ids[i]))
+        found = []
+        while order and times[order[0]] * 1000 < watermark:
+            i = order.pop(0)
+            if len(past) == n - 1 and owns[i] == time_slice and times[i] - past[0] < within_seconds:
+                found.append((key[0], ids[i], times[i], past[0]))
+            past = [*past, times[i]][-(n - 1) :]
+        if order or watermark < (time_slice + 1) * within_seconds * 1000:
+            state.update((past, *([x[i] for i in order] for x in (times, ids, owns))))
+            due = times[order[0]] * 1000 if order else (time_slice + 1) * within_seconds * 1000
+            state.setTimeoutTimestamp(max(due, watermark + 1))
+        elif state.exists:
             state.remove()
-            return
-        product, time_slice = key[0], int(key[1])
-        rows = pd.concat(list(frames))
-        rows = rows.iloc[np.lexsort((rows["review_id"], rows["ts"]))]
-        past = list(state.get[0]) if state.exists else []
-        times = np.concatenate([np.array(past, dtype="int64"), rows["ts"].to_numpy("int64")])
-        state.update((times[-(n - 1):].tolist(),))
-        state.setTimeoutTimestamp(max((time_slice + 1) * within_seconds * 1000, state.getCurrentWatermarkMs() + 1))
-        # Row i of the batch is times[len(past) + i]; its burst began n - 1 entries before.
-        first = max(0, n - 1 - len(past))
-        starts = times[len(past) + first - (n - 1) : len(times) - (n - 1)]
-        ends = rows["ts"].to_numpy()[first:]
-        burst = (rows["own"].to_numpy()[first:] == time_slice) & (ends - starts < within_seconds)
-        if burst.any():
-            found = {"review_id": rows["review_id"].to_numpy()[first:][burst], "ts": ends[burst]}
-            yield pd.DataFrame({"product_id": key[0], **found, "burst_start": starts[burst]})
+        if found:
+            yield pd.DataFrame(found, columns=["product_id", "review_id", "ts", "burst_start"])
 
     negatives = (
-        predictions.filter(F.col("pred_label_vn") == label)
-        .select("product_id", "review_id", "ts", F.timestamp_seconds("ts").alias("event_time"))
+        predictions.withColumn("event_time", F.timestamp_seconds("ts"))
         .withWatermark("event_time", delay)
+        # Any review moves the time on, not negatives alone: the condition, always true, keeps the
+        # optimizer from filtering below the watermark.
+        .filter(F.when(F.rand() + 1 > 0, F.col("pred_label_vn") == label))
+        .select("product_id", "review_id", "ts", "event_time")
         .withColumn("own", F.floor(F.col("ts") / within_seconds))
         .withColumn("slice", F.explode(F.array(F.col("own"), F.col("own") + 1)))
     )
     return negatives.groupBy("product_id", "slice").applyInPandasWithState(
-        detect, BURST, "past array<bigint>", "append", GroupStateTimeout.EventTimeTimeout
+        detect, BURST, BURST_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
@@ -244,19 +283,23 @@ def start_bursts(
 
 
 def start_refit(
-    messages: DataFrame, labelled: KeyedTable, model_dir: str, checkpoint: str, every: int = 1,
+    messages: DataFrame, labelled: KeyedTable, model_dir: str, checkpoint: str, every: int = 100,
     trigger: dict | None = None, **fit_options,
 ) -> StreamingQuery:
     """Keep the weakly labelled reviews and refit the model on all of them every ``every`` batches.
 
-    Logistic regression has no partial fit. Each model is saved under its batch id.
+    Logistic regression has no partial fit, so choose ``every`` by how often a new model is wanted.
+    Each model is saved under its batch id; none is fitted until both classes have been seen.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         with _cached(ml.weak_label(filter_content(good(batch))).drop("label")) as rows:
             labelled.insert(rows, ["crawled_at"], (checkpoint, batch_id))
-        if (batch_id + 1) % every == 0:
-            model = ml.train(labelled.read(), **fit_options)
+        if (batch_id + 1) % every:
+            return
+        seen = labelled.read()
+        if ml.weak_label(seen).select("label").distinct().count() == 2:
+            model = ml.train(seen, **fit_options)
             model.write().overwrite().save(f"{model_dir}/batch={batch_id:09d}")
 
     return _start(_decoded(messages), apply, "refit", checkpoint, trigger or trigger_opts()[1])
@@ -267,13 +310,16 @@ def run_all(
     max_restarts: int = 3,
     poll_seconds: float = 5.0,
     deadline: float | None = None,
+    within_seconds: float = 3600.0,
 ) -> dict[str, int]:
     """Run several jobs and start again those that die; returns the restarts of each.
 
     A job resumes from its checkpoint. A job that ends by itself (``availableNow``) is finished.
-    Raises the job's error once it has used up its restarts; the others are stopped.
+    Raises the job's error once it has died more than ``max_restarts`` times in ``within_seconds``;
+    the others are stopped.
     """
     restarts = dict.fromkeys(starters, 0)
+    died: dict[str, list[float]] = {name: [] for name in starters}
     running = {name: start() for name, start in starters.items()}
     end = None if deadline is None else time.monotonic() + deadline
     try:
@@ -284,11 +330,13 @@ def run_all(
                 error = query.exception()
                 if error is None:
                     del running[name]
-                elif restarts[name] < max_restarts:
-                    restarts[name] += 1
-                    running[name] = starters[name]()
-                else:
+                    continue
+                now = time.monotonic()
+                died[name] = [*(t for t in died[name] if t > now - within_seconds), now]
+                if len(died[name]) > max_restarts:
                     raise error
+                restarts[name] += 1
+                running[name] = starters[name]()
             time.sleep(poll_seconds if running else 0)
     finally:
         for query in running.values():
@@ -297,24 +345,71 @@ def run_all(
 
 
 PROGRESS = (
-    "name string, batch_id bigint, timestamp string, input_rows bigint, rows_per_second double, "
+    "run_id string, name string, batch_id bigint, timestamp string, input_rows bigint, rows_per_second double, "
     "duration_ms bigint, processed bigint, skipped bigint, errors bigint"
 )
 
 
+def _progress_row(p) -> tuple:
+    seen = (p.observedMetrics or {}).get(OUTCOMES)
+    outcomes = tuple(seen.asDict().get(c) for c in ("processed", "skipped", "errors")) if seen else (None,) * 3
+    duration = (p.durationMs or {}).get("triggerExecution")
+    rate = float(p.processedRowsPerSecond)
+    return (str(p.runId), p.name, p.batchId, p.timestamp, p.numInputRows, rate, duration, *outcomes)
+
+
 def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """The recent batches of a query (Spark keeps at most 100), with the record counters."""
-    rows = []
-    for p in query.recentProgress:
-        seen = (p.observedMetrics or {}).get(OUTCOMES)
-        outcomes = tuple(seen.asDict().get(c) for c in ("processed", "skipped", "errors")) if seen else (None,) * 3
-        duration = (p.durationMs or {}).get("triggerExecution")
-        rows.append(
-            (p.name, p.batchId, p.timestamp, p.numInputRows, float(p.processedRowsPerSecond), duration, *outcomes)
-        )
-    return spark.createDataFrame(rows, PROGRESS)
-
-
-def record_progress(spark: SparkSession, query: StreamingQuery, path: str) -> None:
-    """Append the query's recent batches to a metrics table; call it every so often."""
-    progress(spark, query).write.mode("append").parquet(path)
+    return spark.createDataFrame([_progress_row(p) for p in query.recentProgress], PROGRESS)
+
+
+def record_progress(spark: SparkSession, batches: DataFrame, path: str) -> None:
+    """Write batches to a metrics table; one recorded before is replaced, not added again."""
+    batches.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch_id").parquet(
+        path
+    )
+
+
+def count_predictions(table: KeyedTable) -> Callable[[], DataFrame]:
+    """Counts per model, as a recorder's periodic summary."""
+    return lambda: table.read().groupBy("model").agg(F.count("*").alias("n"))
+
+
+class ProgressRecorder(StreamingQueryListener):
+    """Records every batch of every query of the session, and a summary, each ``every`` seconds.
+
+    Add it with ``spark.streams.addListener``; ``close`` writes what is left. Batches are kept by run
+    and batch, so however often one is reported it counts once. ``summary`` (such as
+    ``count_predictions``) is written to ``path``'s neighbour ``<path>.summary`` with the time.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, every: float = 30.0, summary: Callable[[], DataFrame] | None = None
+    ):
+        self.spark, self.path, self.every, self.summary = spark, path, every, summary
+        self.held: dict[tuple[str, int], tuple] = {}
+        self.written = time.monotonic()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.close()
+
+    def onQueryProgress(self, event) -> None:
+        row = _progress_row(event.progress)
+        self.held[row[0], row[2]] = row
+        if time.monotonic() - self.written >= self.every:
+            self.close()
+
+    def close(self) -> None:
+        self.written, rows = time.monotonic(), [*self.held.values()]
+        self.held = {}
+        if rows:
+            record_progress(self.spark, self.spark.createDataFrame(rows, PROGRESS), self.path)
+            if self.summary is not None:
+                stamped = self.summary().withColumn("at", F.current_timestamp())
+                stamped.write.mode("append").parquet(f"{self.path}.summary")

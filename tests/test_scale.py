@@ -54,6 +54,11 @@ def test_pages_concatenate_to_the_sorted_whole(spark):
         pages = [P.page(df, n, 10, order, key, deep=deep).orderBy(*order).collect() for n in range(1, 12)]
         assert [r.review_id for p in pages for r in p] == whole
         assert {(r.total_rows, r.total_pages) for p in pages for r in p} == {(95, 10)}
+    ties = spark.createDataFrame([(1.0, "x", 1), (1.0, "x", 2), (0.5, "y", 3), (None, "n", 4)], "crawled_at double, review_id string, v int")
+    order = [F.desc("crawled_at"), F.asc("review_id")]
+    for size in (1, 2, 3):
+        both = [[P.page(ties, n, size, order, key, deep=deep).collect() for n in range(1, 6)] for deep in (False, True)]
+        assert both[0] == both[1] and sorted(r.v for p in both[1] for r in p) == [1, 2, 3, 4]
     empty = P.number_rows(df.filter("false"), order)
     assert empty.count() == 0
 

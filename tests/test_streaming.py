@@ -71,7 +71,7 @@ def state(table):
 
 
 def test_baseline_equals_batch_after_restart_and_replay(spark, tmp_path):
-    src, table = land(tmp_path / "src", FILES[:2]), predictions_table(spark, tmp_path, compact_after=2)
+    src, table = land(tmp_path / "src", FILES[:2]), predictions_table(spark, tmp_path)
     errors, first = str(tmp_path / "errors"), str(tmp_path / "c1")
     run_baseline(spark, src, table, first, errors=errors)
     assert state(table) == rows(batch_form(spark, src))
@@ -85,13 +85,38 @@ def test_baseline_equals_batch_after_restart_and_replay(spark, tmp_path):
         ("bad_content", 1), ("malformed", 1), ("null_rating", 1)]
     seen = J.progress(spark, query).agg(F.sum("processed"), F.sum("skipped"), F.sum("errors")).first()
     assert tuple(seen) == (4, 0, 0)
+    raw = {r.reject_reason: r.raw_value for r in spark.read.parquet(errors).collect()}
+    assert raw["malformed"] == "not json" and raw["bad_content"] == '{"content": 5}'
+
+
+def test_last_arrival_wins_in_one_batch(spark, tmp_path):
+    for name, ratings in (("up", (1, 5)), ("down", (5, 1))):
+        src = land(tmp_path / name, [[message(1, rating=r, content="xxxx") for r in ratings]])
+        table = predictions_table(spark, tmp_path, f"t-{name}")
+        J.start_baseline(read_review_stream(spark, "text", src), table, str(tmp_path / f"c-{name}"), trigger=ONCE).awaitTermination()
+        assert table.read().first().rating == ratings[-1]
+
+
+def test_recorder_counts_each_batch_once(spark, tmp_path):
+    table, path = predictions_table(spark, tmp_path), str(tmp_path / "metrics")
+    recorder = J.ProgressRecorder(spark, path, every=0.0, summary=J.count_predictions(table))
+    spark.streams.addListener(recorder)
+    try:
+        query = run_baseline(spark, land(tmp_path / "src"), table, str(tmp_path / "c"))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+        for _ in range(2):
+            J.record_progress(spark, J.progress(spark, query), path)
+    finally:
+        spark.streams.removeListener(recorder)
+    assert spark.read.parquet(path).agg(F.sum("input_rows")).first()[0] == sum(map(len, FILES))
+    assert spark.read.parquet(f"{path}.summary").filter("n > 0").count() > 0
 
 
 def test_repeated_batch_is_applied_once(spark, tmp_path):
     table = predictions_table(spark, tmp_path)
     df = to_prediction(score_rules(good(decode_reviews(spark.createDataFrame([(m,) for m in FILES[0]], "value string")))), "m", crawled())
     assert table.upsert(df, ("s", 0)) and not table.upsert(df, ("s", 0))
-    assert len(table.versions()) == 1
+    assert table.live()["version"] == 1
     assert table.upsert(df, ("s", 1)) and table.read().count() == 6
 
 
@@ -119,12 +144,11 @@ def test_model_failures(spark, tmp_path):
     assert [tuple(r) for r in spark.read.parquet(errors).select("review_id", "reject_reason").collect()] == [("5", "unavailable")]
 
 
-def test_model_sees_whole_texts_unless_told_otherwise(spark):
+def test_model_sees_whole_texts(spark):
     long_text = "x " * 500 + "tốt"
     df = spark.createDataFrame([("a", "", long_text, 3)], "review_id string, title string, content string, rating int")
     whole = score_with(df, lexicon_scorer()).first()
-    cut = score_with(df, lexicon_scorer(), max_tokens=160).first()
-    assert (whole.pred_label, cut.pred_label) == (1, 2)
+    assert whole.pred_label == 1
     assert score_with(df, lexicon_scorer(), labels=LABELS_NEUTRAL_MIDDLE).first().pred_label_vn == "Trung bình"
     scored = score_with(df, lexicon_scorer())
     assert set(resolve_failures(scored).columns) == set(scored.columns)
@@ -136,10 +160,14 @@ def test_attach_fails_on_a_missing_prediction(spark):
     assert rows(attach_by_key(df, scored)) == [("a", 1), ("b", 2)]
     with pytest.raises(Exception, match="no prediction for b"):
         attach_by_key(df, scored.filter("review_id = 'a'")).collect()
+    with pytest.raises(Exception, match="no review for b"):
+        attach_by_key(df.filter("review_id = 'a'"), scored).collect()
+    with pytest.raises(Exception, match="more than one row for"):
+        attach_by_key(df, scored.union(scored)).collect()
 
 
 def test_ingest_publishes_each_review_once(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "raw"), REVIEW, ["review_id"], order=None, buckets=4, compact_after=2)
+    table = KeyedTable(spark, str(tmp_path / "raw"), REVIEW, ["review_id"], order=None, buckets=4)
     src, out = land(tmp_path / "src"), str(tmp_path / "out")
     for checkpoint in ("c1", "c1", "c2"):
         stream = read_review_stream(spark, "text", src, maxFilesPerTrigger=1)
@@ -164,17 +192,16 @@ def test_table_append_clear_and_conflict(spark, tmp_path):
     table.append(df)
     table.append(df)
     assert table.read().count() == 10
-    with pytest.raises(RuntimeError, match="another writer"):
-        table._commit(table.manifest())
     with pytest.raises(ValueError):
         table.upsert(df)
     assert table.clear() == 10 and table.read().count() == 0
+    assert [f for f in (tmp_path / "t").rglob("*.parquet")] == []
     table.append(df)
     assert table.read().count() == 5
 
 
-def test_compaction_keeps_the_last_write(spark, tmp_path):
-    table = predictions_table(spark, tmp_path, compact_after=2)
+def test_many_small_writes_keep_the_last_one_and_few_files(spark, tmp_path):
+    table = predictions_table(spark, tmp_path)
     empty = table.read().limit(0)
     for n in range(7):
         change = spark.range(3).select(
@@ -184,9 +211,10 @@ def test_compaction_keeps_the_last_write(spark, tmp_path):
         table.upsert(empty.unionByName(change, allowMissingColumns=True))
     # ts decides first, then the later write: batches 0, 2, 4, 6 have ts 2.
     assert state(table) == [("0", 6, 2), ("1", 6, 2), ("2", 6, 2)]
-    parts = [p for names in table.manifest()["buckets"].values() for p in names]
-    assert max(len(names) for names in table.manifest()["buckets"].values()) <= 3
-    assert {p.rsplit("-", 1)[1] for p in parts} == {"L0", "L1", "L2"}
+    for n in range(33):
+        table.upsert(empty.unionByName(change.withColumn("ts", F.lit(n).cast("bigint")), allowMissingColumns=True))
+    assert len([f for f in (tmp_path / "pred").rglob("*.parquet")]) <= 2 * 4
+    assert "Exchange" not in table.read()._jdf.queryExecution().executedPlan().toString()
 
 
 def test_run_all_restarts_a_job_that_dies(spark, tmp_path):
@@ -224,8 +252,15 @@ def events(spark, tmp_path):
     return land(tmp_path / "src", [lines[i : i + 5] for i in range(0, len(lines), 5)])
 
 
-def test_burst_stream_equals_batch(spark, tmp_path):
+def test_burst_stream_equals_batch_whatever_the_order_within_the_delay(spark, tmp_path):
+    import random
+
     src = events(spark, tmp_path)
+    lines = [x for f in sorted(os.listdir(src)) for x in open(os.path.join(src, f), encoding="utf-8").read().split("\n") if x]
+    mixed = random.Random(4)
+    lines.append(message(900, content="hàng tốt", crawled_at=20_000.0))  # lets the watermark pass the rest
+    lines.sort(key=lambda m: json.loads(m)["crawled_at"] + mixed.uniform(0, 500))
+    src = land(tmp_path / "mixed", [lines[i : i + 5] for i in range(0, len(lines), 5)])
     batch = rows(A.negative_burst(J.scored_stream(spark.read.text(src))))
     assert [r[2:] for r in batch] == [(9002, 9000), (699, 100), (1300, 1250)]
     out = str(tmp_path / "out")
@@ -258,12 +293,12 @@ def test_refit_saves_a_model_per_batch(spark, tmp_path):
     from pyspark.ml import PipelineModel
 
     lines = [message(i, rating=5 if i % 2 else 1, content="tốt lắm" if i % 2 else "rất tệ") for i in range(12)]
-    src = land(tmp_path / "src", [lines[:6], lines[6:]])
+    src = land(tmp_path / "src", [[message(50, rating=3)], lines[:6], lines[6:]])
     table = KeyedTable(spark, str(tmp_path / "t"), REVIEW, ["review_id"], order=None, buckets=2)
     stream = read_review_stream(spark, "text", src, maxFilesPerTrigger=1)
-    J.start_refit(stream, table, str(tmp_path / "m"), str(tmp_path / "c"), trigger=ONCE, max_iter=5).awaitTermination()
-    assert sorted(os.listdir(tmp_path / "m")) == ["batch=000000000", "batch=000000001"]
-    model = PipelineModel.load(str(tmp_path / "m" / "batch=000000001"))
+    J.start_refit(stream, table, str(tmp_path / "m"), str(tmp_path / "c"), every=1, trigger=ONCE, max_iter=5).awaitTermination()
+    assert sorted(os.listdir(tmp_path / "m")) == ["batch=000000001", "batch=000000002"]
+    model = PipelineModel.load(str(tmp_path / "m" / "batch=000000002"))
     from reviewlens.operators import ml
 
     scored = ml.predict(model, table.read())

@@ -61,7 +61,7 @@ MESSAGES = [
     ("not json", "malformed"), ("[1,2]", "not_object"), ("{}", None), ('{"content":null}', "bad_content"),
     ('{"content":12345}', "bad_content"), ('{"content":["a"]}', "bad_content"),
     ('{"content":"abcd","rating":null}', "null_rating"), ('{"content":"abcd","rating":"5"}', "bad_rating"),
-    ('{"content":"abcd","rating":4.5}', "bad_rating"), ('{"content":"abcd"}', None),
+    ('{"content":"abcd","rating":4.5}', None), ('{"content":"abcd"}', None),
     ('{"content":"abcd"} trailing', "malformed"), ('{"content":"a"},{"content":"b"}', "malformed"), ("null", "not_object"),
     ("", "malformed"), ('{"content":"a"} {"content":"b"}', "malformed"),
 ]
@@ -74,11 +74,11 @@ def test_decode_tells_missing_from_null_and_wrong_type(spark):
     for message, reason in MESSAGES:
         assert got[message] == reason, message
     kept = good(decoded).select("content", "rating")
-    assert rows(kept) == [("", None), ("abcd", None)]
-    assert bad(df).count() == len(MESSAGES) - 2
-    assert filter_content(kept).count() == 1
+    assert rows(kept) == [("", None), ("abcd", 4), ("abcd", None)]
+    assert bad(df).count() == len(MESSAGES) - 3
+    assert filter_content(kept).count() == 2
     counted = A.outcome_counts(decoded).first()
-    assert (counted.processed, counted.skipped, counted.errors) == (1, 1, len(MESSAGES) - 2)
+    assert (counted.processed, counted.skipped, counted.errors) == (2, 1, len(MESSAGES) - 3)
 
 
 def test_encode_keeps_nulls_and_text(spark):
@@ -254,6 +254,9 @@ def test_rules_upsert_and_precedence(spark):
     df = reviews(spark, {"product_id": "7", "category_id": "E"}, {"product_id": "8", "category_id": "E"}, {"product_id": "8"})
     got = apply_rules(df, rules).orderBy("review_id").select("active_model")
     assert [r[0] for r in got.collect()] == ["phobert", "spark-baseline", "phobert"]
+    within = spark.createDataFrame([("7", "E", "both", 9)], commands.schema)
+    got = apply_rules(df, upsert_rules(rules, within)).orderBy("review_id").select("active_model")
+    assert [r[0] for r in got.collect()] == ["both", "spark-baseline", "phobert"]
     none = apply_rules(df, rules.filter("false"))
     assert {r.active_model for r in none.collect()} == {"both"}
 
@@ -265,11 +268,13 @@ def test_search_prefers_the_exact_id(spark):
     assert search_products(df, "zzz").count() == 0
 
 
-def test_chart_groups_by_short_or_full_name(spark):
+def test_chart_tells_products_with_one_short_name_apart(spark):
     name = "p" * 40
-    df = score_rules(reviews(spark, {"product_name": name + "a", "rating": 1}, {"product_name": name + "b", "rating": 1}))
-    assert rows(A.worst_products(df)) == [(name + "...", 2)]
+    df = score_rules(reviews(
+        spark, {"product_id": "1", "product_name": name + "a", "rating": 1}, {"product_id": "2", "product_name": name + "b", "rating": 1}))
+    assert rows(A.worst_products(df)) == [("1", name + "...", 1), ("2", name + "...", 1)]
     assert A.worst_products(df, by="full").count() == 2
+    assert rows(A.worst_products(df, by="display")) == [(name + "...", 2)]
 
 
 def test_summary_of_nothing_is_zero(spark):
