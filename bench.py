@@ -32,6 +32,8 @@ HEADLINE = (
     "sentiment_trend",
     "word_count",
     "stream_baseline",
+    "train_tfidf_lr",
+    "predict_tfidf_lr",
 )
 
 

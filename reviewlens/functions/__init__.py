@@ -6,7 +6,7 @@ from reviewlens.functions.labels import (
 from reviewlens.functions.text import (
     abbrev_id, compose_text, ellipsize, rating_badge, strip, tokens,
 )
-from reviewlens.functions.times import format_ts, naive_iso_time, review_instant
+from reviewlens.functions.times import format_ts, format_ts_text, naive_iso_time, review_instant
 from reviewlens.functions.urls import classify_url, md5_mod, product_url
 
 __all__ = [

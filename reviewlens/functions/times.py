@@ -42,6 +42,15 @@ def review_instant(text: Column) -> Column:
     return F.coalesce(naive_iso_time(text), _utc(F.timestamp_seconds(epoch)), _utc(zoned))
 
 
+def format_ts_text(text: Column, missing: str = "") -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` (UTC) of a text that is an epoch number; any other text as it is."""
+    epoch = F.when(text.rlike(EPOCH_SECONDS), text.try_cast("double")).when(
+        text.rlike(EPOCH_MILLIS), text.try_cast("double") / 1000
+    )
+    shown = F.date_format(_utc(F.timestamp_seconds(epoch)), "yyyy-MM-dd HH:mm:ss")
+    return F.coalesce(shown, text, F.lit(missing))
+
+
 def format_ts(value: Column, missing: str = "", epoch: bool = True) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` of an epoch number (``epoch``) or of a timestamp column."""
     instant = F.timestamp_seconds(value) if epoch else value

@@ -178,7 +178,7 @@ def outcome_metrics(min_chars: int = 3) -> list[Column]:
 
 def word_count(df: DataFrame, column: str) -> DataFrame:
     """Frequency of every lower-case word."""
-    words = df.select(F.explode(F.split(F.lower(F.col(column)), r"\W+")).alias("word"))
+    words = df.select(F.explode(F.split(F.lower(F.col(column)), r"[^\p{L}\p{M}\p{N}_]+")).alias("word"))
     return words.filter("word != ''").groupBy("word").agg(_n())
 
 

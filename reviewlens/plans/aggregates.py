@@ -175,7 +175,7 @@ def rating_distribution(spark, sf_dir):
 @query(
     "word_count",
     r"""
-SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(lower(text), '\W+')) AS word FROM documents) w
+SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(lower(text), '[^\p{L}\p{M}\p{N}_]+')) AS word FROM documents) w
 WHERE word <> '' GROUP BY word""",
 )
 def word_count(spark, sf_dir):

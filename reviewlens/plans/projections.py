@@ -349,6 +349,38 @@ def format_ts(spark, sf_dir):
     )
 
 
+@query(
+    "format_ts_text",
+    on_reviews("""
+SELECT review_id, crawled_at, CASE WHEN regexp_full_match(create_time, '[0-9]{9,10}')
+  THEN strftime(to_timestamp(CAST(create_time AS BIGINT)) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') ELSE create_time END AS shown
+FROM reviews"""),
+)
+def format_ts_text(spark, sf_dir):
+    return arrivals(spark, sf_dir).select("review_id", "crawled_at", R.format_ts_text(F.col("create_time")).alias("shown"))
+
+
+@query(
+    "ingest_api_products",
+    """
+SELECT CAST(floor(p_partkey / 20) AS BIGINT) AS page_no,
+  CAST(count(*) OVER (PARTITION BY floor(p_partkey / 20)) AS BIGINT) AS total,
+  CAST(row_number() OVER (PARTITION BY floor(p_partkey / 20) ORDER BY p_partkey) - 1 AS INT) AS rank,
+  p_partkey AS id, CASE WHEN p_partkey % 7 <> 0 THEN p_name END AS name, p_brand AS brand_name,
+  lower(replace(p_brand, '#', '-')) AS slug
+FROM part""",
+)
+def ingest_api_products(spark, sf_dir):
+    """Product pages as landed, twenty products each."""
+    item = F.struct("id", "name", "brand_name", "brand")
+    pages = products(spark, sf_dir).groupBy(F.floor(F.col("id") / 20).alias("page_no")).agg(
+        F.array_sort(F.collect_list(item)).alias("data")
+    )
+    body = F.to_json(F.struct("data", F.struct(F.size("data").alias("total")).alias("paging")))
+    rows = explode_pages(pages.select("page_no", body.alias("body")), "products")
+    return rows.select("page_no", "total", "rank", "id", "name", "brand_name", F.col("brand.slug").alias("slug"))
+
+
 @query(
     "translate_label",
     on_v1("""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -48,9 +50,30 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/reviewlens/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses; what is there goes when the process ends."""
+    if not _scratch:
+        atexit.register(remove_scratch)
+    path = f"{shared_dir(spark)}/reviewlens/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def remove_scratch() -> None:
+    """Delete all scratch folders of this process; nothing happens if the JVM is gone already."""
+    jvm = SparkContext._jvm
+    try:
+        conf = jvm.org.apache.hadoop.conf.Configuration()
+        for path in _scratch:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+    except Exception:  # noqa: BLE001  the JVM may be ending: then the folder's owner cleans up
+        return
+    finally:
+        _scratch.clear()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
