@@ -135,14 +135,15 @@ class KeyedTable:
         placed = placed.persist()  # computed once for both uses below
         try:
             touched = [r[0] for r in placed.select(BUCKET).distinct().collect()]
-            old = self._load([live["buckets"][str(b)] for b in touched if str(b) in live["buckets"]])
-            if new_keys_only:
-                placed_new = new_only(placed, old, self.keys)
-            else:
-                placed_new = placed
+            stored = [live["buckets"][str(b)] for b in touched if str(b) in live["buckets"]]
+            every = placed
+            if stored:
+                old = self._load(stored)
+                fresh = new_only(placed, old, self.keys) if new_keys_only else placed
+                every = old.withColumn(BUCKET, bucket).unionByName(fresh)
             # One shuffle by bucket serves the choice per key and leaves each bucket in one task.
-            every = old.withColumn(BUCKET, bucket).unionByName(placed_new).repartition(self.buckets, BUCKET)
-            if self.order is not None:
+            every = every.repartition(self.buckets, BUCKET)
+            if self.order is not None and stored:  # the rows of one write have one per key already
                 every = last_by(every, [BUCKET, *self.keys], [*self.order, VERSION])
             name = f"v{version:09d}-{uuid.uuid4().hex[:8]}"
             schema = StructType([*self.schema.fields, StructField(VERSION, LongType()), StructField(BUCKET, IntegerType())])
