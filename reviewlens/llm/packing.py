@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from reviewlens.llm.common import map_batches, written
 
 #: The split of a text before the merges, as the tokenizer file's byte-level step does it. Fixed value.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: A run of white space that ``tiktoken`` may not split: at 1,000,000 its search runs out of stack. Fixed value.
+LONG_SPACE = r"(?<!\s)\s{100000}"
 #: Items that one task packs at once.
 GROUP = 1 << 16
 
@@ -30,13 +33,19 @@ def encoder(path: str):
 
     It gives the ids of the file's own library several times as fast. That library ranks merges by
     their order in the file, this one by the id of the result; a file where these differ is refused.
+    So is one with added tokens that take in their surroundings or begin each other.
     """
     import tiktoken
     from tiktoken import registry
 
     if path not in registry.ENCODINGS:
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            content = json.load(file)
+        model, added = content["model"], content.get("added_tokens") or []
+        names = sorted(t["content"] for t in added)
+        flags = [t["content"] for t in added if t["lstrip"] or t["rstrip"] or t["single_word"]]
+        if flags or any(b.startswith(a) for a, b in zip(names, names[1:], strict=False)):
+            raise ValueError(f"{path}: added tokens are no plain strings")
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
@@ -47,10 +56,31 @@ def encoder(path: str):
             raise ValueError(f"{path}: ids do not follow the order of the merges")
         parts = [*byte_of, *(a + b for a, b in merges)]
         ranks = {bytes(byte_of[c] for c in p): model["vocab"][p] for p in parts}
-        registry.ENCODINGS[path] = tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        special = {t["content"]: t["id"] for t in added}
+        registry.ENCODINGS[path] = tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
     return registry.ENCODINGS[path]
 
 
+def token_ids(path: str) -> Callable[[str], np.ndarray]:
+    """What the library of a tokenizer file gives for a text without ``add_special_tokens``.
+
+    The file's added tokens are found in the text. White space beyond ``LONG_SPACE`` goes to the
+    library itself.
+    """
+    fast, library = encoder(path), []
+
+    def ids(text: str) -> np.ndarray:
+        if len(text) < 100_000 or not re.search(LONG_SPACE, text):
+            return fast.encode_to_numpy(text, allowed_special="all", disallowed_special=())
+        if not library:
+            from tokenizers import Tokenizer
+
+            library.append(Tokenizer.from_file(path))
+        return np.array(library[0].encode(text, add_special_tokens=False).ids, np.uint32)
+
+    return ids
+
+
 def piece_rows(
     docs: DataFrame, id_col: str, text: str, size: int, end_id: int, path: str, with_ids: bool
 ) -> DataFrame:
@@ -64,8 +94,7 @@ def piece_rows(
     names = [f.name for f in fields]
     types = [pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int32())] * with_ids
 
-    def cut(text: str | None) -> Iterator[tuple]:
-        own = encoder(path).encode_to_numpy(text or "", disallowed_special=())
+    def cut(own: np.ndarray) -> Iterator[tuple]:
         ids = np.append(own, end_id).astype("<u4")
         n = len(ids)
         edges = [0, *range(n % size or size, n + 1, size)]
@@ -73,8 +102,9 @@ def piece_rows(
             yield (k, a, b - a, zlib.crc32(ids[a:b].tobytes()), *[ids[a:b]] * with_ids)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = token_ids(path)
         for batch in batches:
-            found = [(i, *row) for i, text in enumerate(batch.column(1).to_pylist()) for row in cut(text)]
+            found = [(i, *row) for i, text in enumerate(batch.column(1).to_pylist()) for row in cut(ids(text or ""))]
             if found:
                 at, *columns = zip(*found, strict=True)
                 arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
@@ -183,8 +213,8 @@ def packed(
 ) -> DataFrame:
     """Per piece: ``id_col, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``).
 
-    A row's ids are its text's, by the tokenizer file ``path`` (special strings are ordinary text),
-    and ``end_id``. Rows of more than ``size`` ids are cut into pieces of ``size``, the first one
+    A row's ids are its text's, by the tokenizer file ``path`` (its added tokens, like
+    ``<|endoftext|>``, are one id wherever they stand), and ``end_id``. Rows of more than ``size`` ids are cut into pieces of ``size``, the first one
     shorter if need be. Whole pieces are sequences of their own; shorter ones are packed together.
 
     A null text counts as empty and is one piece, its end id. Rows with equal or null ids are

@@ -288,6 +288,24 @@ def test_token_ids_equal_the_tokenizers_library():
         assert ours.encode_ordinary(text) == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_token_ids_equal_the_library_at_its_default_settings(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rnd = random.Random(7)
+    parts = ["<|endoftext|>", "<|endoftext|", "|>", " ", "  ", "\n", "a", "it's", "é", "🙂", "1", "<"]
+    texts = ["x <|endoftext|> y", "<|endoftext|>", *(t or "" for _, t in ROWS)]
+    texts += ["".join(rnd.choices(parts, k=rnd.randint(0, 20))) for _ in range(1000)]
+    texts += ["x" + " " * n + "<|endoftext|>" + "\n\t " * (n // 3) + "y" for n in (99_999, 100_000, 1_000_010)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = defaultdict(list)
+    for r in sorted(packing.packed(table, with_ids=True).collect(), key=lambda r: (r.doc_id, r.piece)):
+        found[r.doc_id] += r.ids
+    for i, text in enumerate(texts):
+        assert found[i] == [*library.encode(text, add_special_tokens=False).ids, 2], text[:100]
+
+
 def test_packing_is_whole_and_tight(spark, docs, monkeypatch):
     ours = packing.encoder(packing.default_path())
     for group in (1 << 16, 8):
