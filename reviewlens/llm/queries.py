@@ -11,7 +11,7 @@ from reviewlens.llm.common import table, text_or_empty
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"), min_words=1)
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from reviewlens.llm import (
-    chat, components, language, neighbours, packing, paragraphs, ranking, repeats, secrets, sentencepiece_words, simhash,
+    chat, components, language, neighbours, packing, paragraphs, queries, ranking, repeats, secrets, sentencepiece_words, simhash,
 )
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -185,6 +185,36 @@ def test_paragraphs_equal_brute_force(docs):
     assert paragraphs.repeated_paragraphs(docs.filter("false")).count() == 0
 
 
+def test_paragraph_query_finds_short_lines(spark, tmp_path):
+    rnd = random.Random(12)
+    short = [prose(rnd, n) for n in range(1, 20)]
+    near = prose(rnd, 19)
+    texts = ["\n".join(short), "\n\n".join(f" {s} \t" for s in short), f"{prose(rnd, 12)}\n{near}\n{prose(rnd, 3)}"]
+    texts += [f"{near} more", "xi xi xi xi xi", "xi xi xi xi xi xi", "xi xi xi xi", "one two three four", "one two three four five"]
+    rows = [*enumerate(texts), *((20 + i, t) for i, t in ROWS if i is not None and t != "x " * 30_000)]
+    lines = {}
+    for i, t in rows:
+        lines |= {(i, k): line.split() for k, line in enumerate((t or "").split("\n")) if line.split()}
+    places = sorted(lines)
+    sets = {p: frozenset(" ".join(w[j : j + 5]) for j in range(max(len(w) - 4, 1))) for p, w in lines.items()}
+    label = {p: p for p in places}
+    for a in places:
+        for b in places:
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both) and label[a] != label[b]:
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = {p: new if x == old else x for p, x in label.items()}
+    sizes = Counter(label.values())
+    expected = sorted((*p, sizes[label[p]], p != label[p]) for p in places if sizes[label[p]] > 1)
+
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    table = spark.createDataFrame([(i, t, None, None, 0) for i, t in dict(rows).items()], schema)
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op1_substring_dedup(spark, str(tmp_path)).drop("cluster_id")
+    assert sorted(map(tuple, found.collect())) == expected
+    assert {(0, k) for k in range(19)} <= {p[:2] for p in expected}
+
+
 def test_similar_links_of_large_cells_equal_pairs():
     rnd = random.Random(2)
     sets = [frozenset(rnd.sample(range(40), rnd.randint(15, 25))) | frozenset(range(100, 160)) for _ in range(60)]
