@@ -18,12 +18,16 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 MIN_ASSIGNED = 8
 #: Strings that the randomness tests look at, and the alphabets they may be written in.
-CANDIDATE = r"[A-Za-z0-9+/_-]{24,}"
+LEAST = 24
+CANDIDATE = rf"[A-Za-z0-9+/_-]{{{LEAST},}}"
 DIGITS, UPPER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ALPHABETS = {
     "hex": DIGITS + "abcdef",
     "HEX": DIGITS + "ABCDEF",
     "base32": UPPER + "234567",
+    "base32lower": UPPER.lower() + "234567",
+    "base36": DIGITS + UPPER.lower(),
+    "BASE36": DIGITS + UPPER,
     "base62": DIGITS + UPPER + UPPER.lower(),
     "base64": UPPER + UPPER.lower() + DIGITS + "+/",
     "base64url": UPPER + UPPER.lower() + DIGITS + "-_",
@@ -33,6 +37,9 @@ MIXED = {
     "hex": "(?=.*[0-9]).*[a-f]",
     "HEX": "(?=.*[0-9]).*[A-F]",
     "base32": "(?=.*[2-7]).*[A-Z]",
+    "base32lower": "(?=.*[2-7]).*[a-z]",
+    "base36": "(?=.*[0-9]).*[a-z]",
+    "BASE36": "(?=.*[0-9]).*[A-Z]",
     "base62": "(?=.*[0-9])(?=.*[A-Z]).*[a-z]",
     "base64": "(?=.*[0-9])(?=.*[A-Z]).*[a-z]",
     "base64url": "(?=.*[0-9])(?=.*[A-Z]).*[a-z]",
@@ -157,16 +164,34 @@ def encoding_of(value: Column) -> Column:
     return found
 
 
+def parts(run: Column) -> Column:
+    """The parts of a run (``start``, ``value``) between ``/ + - _`` that are long enough for the tests."""
+    begin = F.struct(
+        run["start"].alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out")
+    )
+
+    def step(a: Column, x: Column) -> Column:
+        end = a["at"] + F.length(x)
+        part = F.struct(a["at"].alias("start"), end.alias("end"), x.alias("value"))
+        out = F.when(F.length(x) >= LEAST, F.concat(a["out"], F.array(part))).otherwise(a["out"])
+        return F.struct((end + 1).alias("at"), out.alias("out"))
+
+    return F.aggregate(F.split(run["value"], "[/+_-]"), begin, step)["out"]
+
+
 def with_candidates(docs: DataFrame, text: str, out: str) -> DataFrame:
     """Adds ``out``: ``start, end, class, p`` of the strings that may be random.
 
-    ``class`` joins the inferred encoding and the power of two of the length.
+    A run that has no encoding as a whole is tested in its parts. ``class`` joins the inferred encoding and the power of two of the length.
     """
     df = located(docs, text, CANDIDATE, "_cand")
-    coded = F.transform(
-        "_cand", lambda c: F.struct(c["start"], c["end"], c["value"], encoding_of(c["value"]).alias("encoding"))
-    )
-    df = df.withColumn("_cand", F.filter(coded, lambda c: c["encoding"].isNotNull()))
+    fields = ["start", "end", "value"]
+    coded = extended(F.col("_cand"), fields, encoding=lambda c: encoding_of(c["value"]))
+    df = df.withColumn("_cand", coded)
+    rest = F.filter("_cand", lambda c: c["encoding"].isNull())
+    df = df.withColumn("_part", F.flatten(F.transform(rest, parts)))
+    part = extended(F.col("_part"), fields, encoding=lambda c: encoding_of(c["value"]))
+    df = df.withColumn("_cand", F.filter(F.concat("_cand", part), lambda c: c["encoding"].isNotNull())).drop("_part")
     letters = F.create_map(*[F.lit(x) for pair in ALPHABETS.items() for x in pair])
     spelled = extended(
         F.col("_cand"),
