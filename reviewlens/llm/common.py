@@ -15,6 +15,7 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
     "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "benchmark": "item_id bigint, text string",
 }
 
 

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewlens.llm import chat, language, neighbours, packing, paragraphs, ranking, repeats, secrets, sentencepiece_words, simhash
+from reviewlens.llm import (
+    chat, language, lexical, lines, neighbours, packing, paragraphs, ranking, repeats, secrets, sentencepiece_words, simhash, whitening,
+)
 from reviewlens.llm.common import table, text_or_empty
 
 
@@ -137,6 +139,63 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), k=8)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.without_repeated_lines(table(spark, sf_dir, "documents"), min_chars=10, min_docs=2)
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP12_SQL = r"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), placed AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM split
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM placed
+), held AS (
+  SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+), judged AS (
+  SELECT k.*, first IS NOT NULL AND first <> doc_id AS gone FROM keyed k LEFT JOIN held USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search_items(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), k=10)
+
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), postings AS (
+  SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL
+), lengths AS (
+  SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM postings GROUP BY doc_id
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, totals GROUP BY term
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN lengths USING (doc_id), totals GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -154,6 +213,9 @@ QUERIES = (
     op8_language_id,
     op9_topk_search,
     op10_secret_scans,
+    op11_embedding_whitening,
+    op12_line_dedup,
+    op13_ranked_search,
     pipeline,
 )
 
@@ -163,4 +225,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": OP2_SQL, "op9_topk_search": OP9_SQL}
+    return {
+        "op2_chat_format": OP2_SQL,
+        "op9_topk_search": OP9_SQL,
+        "op12_line_dedup": OP12_SQL,
+        "op13_ranked_search": OP13_SQL,
+    }
