@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlens.llm import (
-    chat, language, lexical, lines, neighbours, packing, paragraphs, ranking, repeats, secrets, sentencepiece_words, simhash, whitening,
+    chat, language, lexical, lines, neighbours, packing, passages, ranking, repeats, secrets, sentencepiece_words, simhash, whitening,
 )
 from reviewlens.llm.common import table, text_or_empty
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"), min_words=1)
+    found = passages.repeated_passages(table(spark, sf_dir, "documents"))
+    return passages.merged_ranges(found).drop("text_id")
 
 
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

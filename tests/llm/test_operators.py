@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from reviewlens.llm import (
-    chat, components, language, neighbours, packing, paragraphs, queries, ranking, repeats, secrets, sentencepiece_words, simhash,
+    chat, components, language, neighbours, packing, paragraphs, ranking, repeats, secrets, sentencepiece_words, simhash,
 )
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -185,7 +185,7 @@ def test_paragraphs_equal_brute_force(docs):
     assert paragraphs.repeated_paragraphs(docs.filter("false")).count() == 0
 
 
-def test_paragraph_query_finds_short_lines(spark, tmp_path):
+def test_paragraphs_of_any_length_equal_brute_force(spark):
     rnd = random.Random(12)
     short = [prose(rnd, n) for n in range(1, 20)]
     near = prose(rnd, 19)
@@ -209,8 +209,7 @@ def test_paragraph_query_finds_short_lines(spark, tmp_path):
 
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     table = spark.createDataFrame([(i, t, None, None, 0) for i, t in dict(rows).items()], schema)
-    table.write.parquet(str(tmp_path / "documents.parquet"))
-    found = queries.op1_substring_dedup(spark, str(tmp_path)).drop("cluster_id")
+    found = paragraphs.repeated_paragraphs(table, min_words=1).drop("cluster_id")
     assert sorted(map(tuple, found.collect())) == expected
     assert {(0, k) for k in range(19)} <= {p[:2] for p in expected}
 
