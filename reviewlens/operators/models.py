@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reviewlens.functions import compose_text, confidence, label_name
 from reviewlens.operators.scoring import score_rating
-from reviewlens.schema import LABELS, V2_RULES, RuleSpec
+from reviewlens.schema import LABELS
 
 Scorer = Callable[[list[str]], tuple[list[int], list[list[float]]]]
 ScorerFactory = Callable[[], Scorer]
@@ -21,23 +21,6 @@ class ScorerUnavailable(Exception):
     """The model cannot be reached: its rows go to the error channel, not to the table."""
 
 
-def lexicon_scorer(spec: RuleSpec = V2_RULES) -> ScorerFactory:
-    """A stand-in model over texts: more positive than negative words, fewer, or neither."""
-
-    def factory() -> Scorer:
-        def score(texts: list[str]):
-            verdicts = []
-            for text in texts:
-                low = text.lower()
-                lean = sum(w in low for w in spec.positive_words) - sum(w in low for w in spec.negative_words)
-                verdicts.append(spec.positive if lean > 0 else spec.negative if lean < 0 else spec.neutral)
-            return [v.label_id for v in verdicts], [list(v.proba) for v in verdicts]
-
-        return score
-
-    return factory
-
-
 def _score_batch(score: Scorer, texts: list[str]) -> list[tuple]:
     """One result per text; the whole batch shares a failure, as one request would."""
     try:
@@ -72,16 +55,63 @@ def score_column(text: Column, scorer_factory: ScorerFactory, batch: int = 100)
     return score_texts.asNondeterministic()(text)
 
 
+def windows_of(text: str, size: int) -> list[str]:
+    """The text in runs of ``size`` words; a text without words is one empty window."""
+    words = text.split()
+    return [" ".join(words[i : i + size]) for i in range(0, max(len(words), 1), size)]
+
+
+def score_windows(text: Column, scorer_factory: ScorerFactory, size: int = 160, batch: int = 100) -> Column:
+    """``struct<pred, proba, status>`` of texts longer than the model takes: all their windows, pooled.
+
+    A text is cut into windows of ``size`` words, all of them scored. Its probabilities are the mean
+    over its windows, each weighted by its words; ``pred`` is the label of the most probable class, by the
+    order in which the model lists its classes, so the labels must be their positions. Windows of
+    all texts at hand share batches, longest first, so that a batch is padded little. A text of which
+    any window failed has that window's status and no answer.
+    """
+
+    @F.pandas_udf(RESULT)
+    def score_texts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        score = scorer_factory()
+        for series in batches:
+            parts = [(i, w) for i, t in enumerate(series.fillna("")) for w in windows_of(t, size)]
+            parts.sort(key=lambda p: -len(p[1].split()))
+            sums: list[list[float] | None] = [None] * len(series)
+            weight, status = [0] * len(series), ["ok"] * len(series)
+            for first in range(0, len(parts), batch):
+                own = parts[first : first + batch]
+                for (i, window), (_, proba, state) in zip(own, _score_batch(score, [w for _, w in own]), strict=True):
+                    if state != "ok":
+                        status[i] = state
+                        continue
+                    n = max(len(window.split()), 1)
+                    sums[i] = [a + n * p for a, p in zip(sums[i] or [0.0] * len(proba), proba, strict=True)]
+                    weight[i] += n
+            rows = []
+            for total, n, state in zip(sums, weight, status, strict=True):
+                pooled = [p / n for p in total] if state == "ok" else None
+                rows.append((max(range(len(pooled)), key=pooled.__getitem__) if pooled else None, pooled, state))
+            yield pd.DataFrame(rows, columns=["pred", "proba", "status"]).astype({"pred": "Int32"})
+
+    return score_texts.asNondeterministic()(text)
+
+
 def score_with(
     reviews: DataFrame,
     scorer_factory: ScorerFactory,
     batch: int = 100,
     labels: dict[int, str] = LABELS,
+    window: int | None = None,
 ) -> DataFrame:
-    """Add ``pred_label``, ``pred_label_vn``, ``proba``, ``confidence`` and ``status``."""
+    """Add ``pred_label``, ``pred_label_vn``, ``proba``, ``confidence`` and ``status``.
+
+    With ``window``, texts are scored in windows of so many words and pooled (``score_windows``).
+    """
     text = compose_text(F.col("title"), F.col("content"))
+    scored = score_windows(text, scorer_factory, window, batch) if window else score_column(text, scorer_factory, batch)
     return (
-        reviews.withColumn("_r", score_column(text, scorer_factory, batch))
+        reviews.withColumn("_r", scored)
         .withColumns(
             {
                 "pred_label": F.col("_r.pred"),

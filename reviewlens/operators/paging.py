@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from reviewlens.session import ensure_checkpoint_dir
 
@@ -72,6 +72,80 @@ def page(
     return rows.withColumns({"total_rows": total, "total_pages": pages})
 
 
+#: Rows between two borders of a page index.
+STRIDE = 10_000
+_TIE = "_tie"
+
+
+def _directed(order: Sequence[tuple[str, bool]]) -> list[Column]:
+    return [F.col(name).asc_nulls_last() if up else F.col(name).desc_nulls_last() for name, up in order]
+
+
+def _tie_break(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def write_page_index(df: DataFrame, path: str, order: Sequence[tuple[str, bool]], stride: int = STRIDE) -> None:
+    """Store the keys of every ``stride``-th row in the order of ``(column, ascending)``, nulls last.
+
+    One range-partitioned pass over the key columns, made once for a table that pages are read from;
+    rows of equal keys are ordered by a hash of all columns. The index has one row per ``stride`` rows.
+    """
+    names = [name for name, _ in order]
+    keys = df.select(*names, _tie_break(df).alias(_TIE))
+    numbered = number_rows(keys, [*_directed(order), F.asc(_TIE)])
+    numbered.filter(F.col("position") % stride == 0).coalesce(1).write.mode("overwrite").parquet(f"{path}/borders")
+    df.agg(F.count("*").alias("n"), F.lit(stride).alias("stride")).write.mode("overwrite").parquet(f"{path}/size")
+
+
+def _before(order: Sequence[tuple[str, bool]], border: Row) -> Column:
+    """Whether a row comes before the border in the order."""
+    result = F.col(_TIE) < border[_TIE]
+    for name, up in reversed(order):
+        column, value = F.col(name), border[name]
+        if value is None:  # nulls come last: whatever has a value is before
+            result = column.isNotNull() | (column.isNull() & result)
+        else:
+            ahead = (column < value) if up else (column > value)
+            result = F.coalesce(ahead | ((column == value) & result), F.lit(False))
+    return result
+
+
+def _reaches(order: Sequence[tuple[str, bool]], border: Row | None, first: bool) -> Column:
+    """A bound on the leading column that the scan can use to leave out row groups."""
+    (name, up) = order[0]
+    if border is None or border[name] is None:
+        return F.lit(True)
+    column, value = F.col(name), border[name]
+    if first:
+        return ((column >= value) if up else (column <= value)) | column.isNull()
+    return (column <= value) if up else (column >= value)
+
+
+def page_by_index(df: DataFrame, path: str, number: int, per_page: int, order: Sequence[tuple[str, bool]]) -> DataFrame:
+    """Page ``number`` (from 1) of ``df`` with ``total_rows`` and ``total_pages``, by a stored index of its keys.
+
+    The rows between the borders around the page, a stride or two, are filtered out of the scan and
+    sorted; nothing else is, however deep the page. The index must be of the same rows and order.
+    """
+    spark = df.sparkSession
+    total, stride = spark.read.parquet(f"{path}/size").first()
+    skip = (number - 1) * per_page
+    low, high = skip - skip % stride, -(-(skip + per_page) // stride) * stride
+    borders = spark.read.parquet(f"{path}/borders").filter(F.col("position").isin(low, high)).collect()
+    at = {r["position"]: r for r in borders}  # two rows at most
+    rows = df.withColumn(_TIE, _tie_break(df)).filter(_reaches(order, at.get(low), True))
+    if low in at:
+        rows = rows.filter(~_before(order, at[low]))
+    else:
+        rows = rows.limit(0)
+    if high in at:
+        rows = rows.filter(_reaches(order, at[high], False)).filter(_before(order, at[high]))
+    chosen = rows.orderBy(*_directed(order), F.asc(_TIE)).offset(skip - low).limit(per_page).drop(_TIE)
+    pages = max(1, -(-total // per_page))
+    return chosen.withColumns({"total_rows": F.lit(total).cast("bigint"), "total_pages": F.lit(pages).cast("bigint")})
+
+
 def page_after(df: DataFrame, after: Column | None, per_page: int, order: Sequence[Column]) -> DataFrame:
     """The next page by key: rows that satisfy ``after``, i.e. follow the last row shown.
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("ingest", "projections", "scores", "routing", "aggregates", "joins", "windows", "streams")
+MODULES = ("ingest", "projections", "scores", "routing", "aggregates", "joins", "windows", "streams", "live")
 
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}

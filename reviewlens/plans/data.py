@@ -48,21 +48,20 @@ def cycle(n: int, values: dict[int, Column | str], otherwise: Column | str) -> C
     return chosen.otherwise(otherwise)
 
 
-def product_of(doc: Column, part: DataFrame) -> Column:
+def product_of(doc: Column) -> Column:
     """The part that a document is a review of."""
-    spread = F.floor(doc / 20) % part.agg(F.count("*")).scalar()
-    return F.when(doc % 7 == 3, 0).otherwise(spread).cast("bigint")
+    return F.when(doc % 7 == 3, 0).otherwise(F.floor(doc / 20)).cast("bigint")
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews as they arrive, repeats included, from one scan of the documents.
 
-    Twenty documents in a row share a product, over all parts; a seventh of all reviews is of one
-    hot product.
+    Twenty documents in a row share a product, so that the reviews are of the first parts only, one
+    in forty at the given sizes; a seventh of all reviews is of one hot product.
     """
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     part = table(spark, sf_dir, "part")
-    joined = documents.withColumn("p_partkey", product_of(F.col("doc_id"), part)).join(part, "p_partkey")
+    joined = documents.withColumn("p_partkey", product_of(F.col("doc_id"))).join(part, "p_partkey")
     doc, text = F.col("doc_id"), F.col("text")
     pid = F.col("p_partkey").cast("string")
     again = F.explode(F.when(doc % 10 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
@@ -111,6 +110,12 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_by(arrivals(spark, sf_dir), ["review_id"], ["crawled_at"])
 
 
+def cued(reviews: DataFrame) -> DataFrame:
+    """Reviews that begin with a clear cue, rated as the cue says; the others go."""
+    rating = F.when(F.col("content").startswith("Sản phẩm tốt"), 5).when(F.col("content").startswith("Chất lượng tệ"), 1)
+    return reviews.withColumn("rating", rating).filter("rating IS NOT NULL")
+
+
 def number() -> Column:
     """The review's number, from which prediction times are derived."""
     return F.col("review_id").cast("bigint")

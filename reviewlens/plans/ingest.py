@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reviewlens.operators.analytics import outcome_counts
@@ -172,7 +174,7 @@ def shown(predictions_: DataFrame) -> DataFrame:
 @query("upsert_latest", UPSERTED)
 def upsert_latest(spark, sf_dir):
     stored = KeyedTable(spark, scratch_path(spark, "pred"), PREDICTION, ["review_id", "model"])
-    stored.upsert(predictions(spark, sf_dir).withColumn("ts", F.lit(0)), unique=True)
+    stored.upsert(predictions(spark, sf_dir).withColumn("ts", F.lit(0)))
     stored.upsert(arrival_predictions(spark, sf_dir))
     return shown(stored.read())
 
@@ -289,14 +291,43 @@ def write_messages(rows: DataFrame, path: str) -> None:
     rows.select(encode(rows).alias("value")).write.mode("append").text(path)
 
 
+#: Files that the arrivals are landed in, by review number: each spans all event times.
+FILES = 8
+
+
+def write_message_files(rows: DataFrame, path: str, part: Column) -> None:
+    """JSON lines in one text file per value of ``part``, in folders ``part=<n>``."""
+    messages_ = rows.select(encode(rows).alias("value"), part.cast("int").alias("part"))
+    messages_.repartition("part").write.partitionBy("part").text(path)
+
+
 def landed_messages(spark: SparkSession, sf_dir: str) -> str:
-    """A folder of text files with every arrival as a JSON line, written once per session."""
+    """A folder with every arrival as a JSON line, in ``FILES`` files, written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landed:
         path = scratch_path(spark, "landing")
-        write_messages(arrivals(spark, sf_dir), path)
+        write_message_files(arrivals(spark, sf_dir), path, F.col("review_id").cast("bigint") % FILES)
         _landed[key] = path
     return _landed[key]
 
 
 _landed: dict[tuple[str, str], str] = {}
+
+
+def _slices(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    """The arrivals, and which of eight slices of time each is in."""
+    rows = arrivals(spark, sf_dir)
+    number = F.col("review_id").cast("bigint")
+    last = rows.agg(F.max(number)).scalar()
+    again = F.when(F.col("crawled_at") >= 1_762_500_000 + 100_000 + number, 4).otherwise(0)
+    return rows, (again + F.floor(number * 4 / (last + 1))).cast("int")
+
+
+def in_turn(spark: SparkSession, sf_dir: str, order: Sequence[int]) -> str:
+    """A folder with one file per slice, landed one after the other."""
+    rows, part = _slices(spark, sf_dir)
+    staged, folder = scratch_path(spark, "slices"), scratch_path(spark, "in-turn")
+    write_message_files(rows, staged, part)
+    for n in order:
+        spark.read.text(f"{staged}/part={n}").coalesce(1).write.mode("append").text(folder)
+    return folder

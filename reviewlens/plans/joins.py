@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions import proba_json
 from reviewlens.operators import analytics as A
-from reviewlens.operators.models import attach_by_key, lexicon_scorer, score_with
+from reviewlens.operators.models import attach_by_key, score_with
 from reviewlens.operators.views import orphans, pred_with_raw, review_details, semi_top, with_category
 from reviewlens.plans.catalog import query
 from reviewlens.plans.data import predictions, raw, scored_reviews, table
 from reviewlens.plans.oracle import LABEL, PROBA, on_eval, on_pred, on_raw, text_rules
+from reviewlens.plans.scorer import lexicon_scorer
 
 SHORT = "CASE WHEN length(product_name) > 40 THEN substring(product_name, 1, 40) || '...' ELSE product_name END"
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from reviewlens.schema import V1_RULES, V2_RULES
 
-PRODUCT = "CASE WHEN d.doc_id % 7 = 3 THEN 0 ELSE (d.doc_id // 20) % (SELECT count(*) FROM part) END"
+PRODUCT = "CASE WHEN d.doc_id % 7 = 3 THEN 0 ELSE d.doc_id // 20 END"
 
 REVIEWS = f"""
 base AS (

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
-from reviewlens.operators.models import lexicon_scorer
 from reviewlens.plans.catalog import query
 from reviewlens.plans.data import arrivals, raw
-from reviewlens.plans.ingest import UPSERTED, landed_messages, shown, write_messages
+from reviewlens.plans.ingest import FILES, UPSERTED, in_turn, landed_messages, shown, write_messages
 from reviewlens.plans.oracle import LABEL, LAST, ODD, REVIEWS, arrivals_scored, on_raw, on_reviews, sql, text_rules
+from reviewlens.plans.scorer import lexicon_scorer
 from reviewlens.schema import PREDICTION, REVIEW, TOPIC_BASELINE, TOPIC_TRANSFORMER
 from reviewlens.session import scratch_path
 from reviewlens.sources.decode import decode_reviews, good
@@ -144,29 +144,38 @@ def resume_and_replay(spark, sf_dir):
     return shown(stored.read())
 
 
-@query("micro_batching", UPSERTED)
+def _batches(running) -> Column:
+    """How many batches of a finished stream had input."""
+    return F.lit(sum(p.numInputRows > 0 for p in running.recentProgress)).cast("bigint").alias("batches")
+
+
+@query("micro_batching", f"SELECT *, CAST({FILES} AS BIGINT) AS batches FROM ({UPSERTED}) u")
 def micro_batching(spark, sf_dir):
     """One file per batch instead of one batch."""
     source, trigger = J.trigger_opts("text", available_now=True)
     stored = _predictions_table(spark)
-    J.start_baseline(
+    running = J.start_baseline(
         _messages(spark, sf_dir, **source), stored, _checkpoint(spark), ts=_crawl_time(), trigger=trigger
-    ).awaitTermination()
-    return shown(stored.read())
+    )
+    running.awaitTermination()
+    return shown(stored.read()).select("*", _batches(running))
 
 
 @query(
     "stream_dedup",
     on_raw(f"""
-SELECT review_id, rating, crawled_at, CASE WHEN {ODD} THEN 'reviews' ELSE 'reviews_raw' END AS topic FROM raw"""),
+SELECT review_id, rating, crawled_at, CASE WHEN {ODD} THEN 'reviews' ELSE 'reviews_raw' END AS topic,
+  CAST({FILES} AS BIGINT) AS batches FROM raw"""),
 )
 def stream_dedup(spark, sf_dir):
-    """Ingest: each review stored once and published once on its topic."""
+    """Ingest in several batches: each review stored once and published once on its topic."""
+    source, trigger = J.trigger_opts("text", available_now=True)
     out = scratch_path(spark, "published")
     stored = KeyedTable(spark, scratch_path(spark, "raw"), REVIEW, ["review_id"], order=None)
-    J.start_ingest(_messages(spark, sf_dir), stored, out, _checkpoint(spark), trigger=ONCE).awaitTermination()
+    running = J.start_ingest(_messages(spark, sf_dir, **source), stored, out, _checkpoint(spark), trigger=trigger)
+    running.awaitTermination()
     published = decode_reviews(spark.read.text(out))
-    return published.select("review_id", "rating", "crawled_at", "topic")
+    return published.select("review_id", "rating", "crawled_at", "topic", _batches(running))
 
 
 # A window is written once the watermark, ten minutes behind the newest event, has passed its end.
@@ -193,25 +202,27 @@ def sentiment_trend_stream(spark, sf_dir):
 
 @query(
     "negative_burst_stream",
-    arrivals_scored("""
-SELECT product_id, review_id, ts, burst_start FROM (
+    arrivals_scored(f"""
+SELECT product_id, review_id, ts, burst_start, CAST({FILES} AS BIGINT) AS batches FROM (
   SELECT product_id, review_id, CAST(crawled_at AS BIGINT) AS ts,
     lag(CAST(crawled_at AS BIGINT), 2) OVER (PARTITION BY product_id ORDER BY crawled_at, review_id) AS burst_start
   FROM scored WHERE pred_label = 0 AND length(content) > 3) t
 WHERE ts - burst_start < 600"""),
 )
 def negative_burst_stream(spark, sf_dir):
-    out = scratch_path(spark, "bursts")
-    J.start_bursts(
-        J.scored_stream(_messages(spark, sf_dir)), out, _checkpoint(spark), trigger=ONCE
-    ).awaitTermination()
-    return spark.read.parquet(out)
+    """Slices of time one after the other, each with some disorder: state is carried over the batches."""
+    source, trigger = J.trigger_opts("text", available_now=True)
+    out, folder = scratch_path(spark, "bursts"), in_turn(spark, sf_dir, range(FILES))
+    messages = read_review_stream(spark, "text", folder, **source)
+    running = J.start_bursts(J.scored_stream(messages), out, _checkpoint(spark), trigger=trigger)
+    running.awaitTermination()
+    return spark.read.parquet(out).select("*", _batches(running))
 
 
 @query(
     "progress_metrics",
-    on_reviews("""
-SELECT count(*) AS input_rows, count(*) FILTER (WHERE length(content) > 3) AS processed,
+    on_reviews(f"""
+SELECT CAST({FILES} AS BIGINT) AS batches, count(*) AS input_rows, count(*) FILTER (WHERE length(content) > 3) AS processed,
   count(*) FILTER (WHERE length(content) <= 3) AS skipped, CAST(0 AS BIGINT) AS errors
 FROM reviews"""),
 )
@@ -228,24 +239,27 @@ def progress_metrics(spark, sf_dir):
         J.record_progress(spark, J.progress(spark, running), metrics)
     totals = [F.sum(name).alias(name) for name in ("processed", "skipped", "errors")]
     fed = F.sum(F.col("processed") + F.col("skipped") + F.col("errors")).alias("input_rows")
-    return spark.read.parquet(metrics).agg(fed, *totals)
+    # A batch without input of its own only ends the run.
+    recorded = spark.read.parquet(metrics).filter("input_rows > 0")
+    return recorded.agg(F.count("*").alias("batches"), fed, *totals)
 
 
 @query(
     "refit_incremental",
     on_reviews("""
-SELECT count(*) AS labelled, CAST(5000 AS INT) AS features FROM (
+SELECT count(*) AS labelled, CAST(5000 AS INT) AS features, CAST(2 AS BIGINT) AS models FROM (
   SELECT review_id, min_by(rating, crawled_at) AS rating FROM reviews
   WHERE length(content) > 3 AND rating IN (1, 2, 4, 5) GROUP BY review_id) t"""),
 )
 def refit_incremental(spark, sf_dir):
-    """One row per model saved while the stream ran: its batch and size."""
+    """Eight batches, a model after every fourth: rows learned from, and the size of the last model."""
     from pyspark.ml import PipelineModel
 
     models = scratch_path(spark, "models")
     labelled = KeyedTable(spark, scratch_path(spark, "labelled"), REVIEW, ["review_id"], order=None)
     J.start_refit(
-        _messages(spark, sf_dir), labelled, models, _checkpoint(spark), trigger=ONCE, every=1, max_iter=10
+        _messages(spark, sf_dir, maxFilesPerTrigger=1), labelled, models, _checkpoint(spark), trigger=ONCE, every=4, max_iter=10
     ).awaitTermination()
-    fitted = PipelineModel.load(f"{models}/batch=000000000").stages[-1]
-    return labelled.read().agg(F.count("*").alias("labelled"), F.lit(fitted.numFeatures).alias("features"))
+    fitted = [PipelineModel.load(f"{models}/batch={n:09d}").stages[-1] for n in (3, 7)]
+    size = F.lit(fitted[-1].numFeatures).alias("features")
+    return labelled.read().agg(F.count("*").alias("labelled"), size, F.lit(len(fitted)).cast("bigint").alias("models"))

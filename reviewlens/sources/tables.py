@@ -1,30 +1,25 @@
 """Stored tables: plain parquet, keyed parquet tables, and ``MERGE INTO`` for catalogs that offer it.
 
-A keyed table spreads its rows over hash buckets, each a folder of parquet files with one row per
-key. A write reads the buckets it touches, adds its rows, keeps the last per key and writes these
-buckets anew; then one small file, replaced as a whole, points to the live folder of each bucket.
-Readers need no shuffle and see all of a write or none of it. The folders of the version before
-stay for readers under way; older ones are deleted. One process at a time may write a table.
+A keyed table is one parquet folder partitioned by stream and batch. A write adds its own rows and
+touches no others; a batch that is repeated replaces its own partition, by Spark's dynamic partition
+overwrite. Which row of a key counts is decided when the table is read.
 """
 
 from __future__ import annotations
 
-import json
-import threading
+import hashlib
 import uuid
-from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from reviewlens.operators.keyed import first_by, last_by, new_only
+from reviewlens.operators.keyed import insert_new, last_by, new_only
 
-BUCKET, VERSION = "_bucket", "_version"
+#: The partition columns, and the time of the write in microseconds.
+STREAM, BATCH, WRITTEN = "stream_id", "batch_id", "written_at"
 Batch = tuple[str, int]
 
-_locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
-
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
@@ -41,172 +36,108 @@ def merge_into(spark: SparkSession, target: str, changes: DataFrame, keys: Seque
 
 
 class KeyedTable:
-    """A bucketed parquet table.
+    """A parquet table written in batches.
 
-    With ``order``, it has one live row per key: the last by those columns, then by the write that
-    brought it. Without, rows are only ever added: once per key by ``insert``, or as they are by
-    ``append``. Choose ``buckets`` so that one bucket fits a task, a few GB.
+    With ``order``, a reader sees one row per key: the last by those columns, then by the time of
+    the write. Without, it sees all rows: written once per key by ``insert``, or as they are by
+    ``append``. A batch is (stream name, batch id); a write without one is a batch of its own.
     """
 
     def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        schema: StructType,
-        keys: Sequence[str],
-        order: Sequence[str] | None = ("ts",),
-        buckets: int = 16,
+        self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], order: Sequence[str] | None = ("ts",)
     ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.keys, self.order = list(keys), None if order is None else list(order)
-        self.buckets = buckets
-        self._jvm = spark._jvm
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._fs = self._file("").getFileSystem(self._conf)
-        self._lock = _locks[self.path]
-
-    # the pointer
-
-    def _file(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
-
-    def live(self) -> dict:
-        """The pointer: the live folder per bucket, those of the version before, the last batch per stream."""
-        pointer = self._file("live.json")
-        if not self._fs.exists(pointer):
-            return {"version": 0, "buckets": {}, "before": [], "batches": {}}
-        stream = self._fs.open(pointer)
-        try:
-            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def _point(self, live: dict) -> None:
-        staged = self._file(f"{uuid.uuid4().hex}.json")
-        stream = self._fs.create(staged, False)
-        try:
-            stream.write(bytearray(json.dumps(live).encode()))
-        finally:
-            stream.close()
-        rename = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
-        options = self.spark.sparkContext._gateway.new_array(rename, 1)
-        options[0] = rename.OVERWRITE
-        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._conf)
-        context.rename(staged, self._file("live.json"), options)
-
-    def _forget(self, live: dict) -> None:
-        """Delete the folders that neither the live version nor the one before consists of."""
-        kept = {*live["buckets"].values(), *live["before"]}
-        if not self._fs.exists(self._file("data")):
-            return
-        for folder in self._fs.listStatus(self._file("data")):
-            version = folder.getPath().getName()
-            if not any(k.startswith(f"{version}/") for k in kept):
-                self._fs.delete(folder.getPath(), True)
+        self.stored = StructType(
+            [*schema.fields, StructField(WRITTEN, LongType()), StructField(STREAM, StringType()), StructField(BATCH, LongType())]
+        )
+        self._write(spark.createDataFrame([], self.stored), "ignore", "static")
 
-    @staticmethod
-    def _applied(live: dict, batch: Batch | None) -> bool:
-        return batch is not None and live["batches"].get(batch[0], [-1])[0] >= batch[1]
+    def _write(self, rows: DataFrame, mode: str, overwrite: str) -> None:
+        writer = rows.write.mode(mode).option("partitionOverwriteMode", overwrite)
+        writer.partitionBy(STREAM, BATCH).parquet(self.path)
 
     # reading
 
-    def _load(self, folders: Sequence[str]) -> DataFrame:
-        stored = StructType([*self.schema.fields, StructField(VERSION, LongType())])
-        if not folders:
-            return self.spark.createDataFrame([], stored)
-        return self.spark.read.schema(stored).parquet(*[f"{self.path}/data/{name}" for name in folders])
+    def batches(self) -> DataFrame:
+        """Every row of every write, with the columns ``stream_id, batch_id, written_at``."""
+        return self.spark.read.schema(self.stored).parquet(self.path)
 
     def read(self) -> DataFrame:
-        return self._load([*self.live()["buckets"].values()]).drop(VERSION)
+        rows = self.batches()
+        if self.order is not None:
+            rows = last_by(rows, self.keys, [*self.order, WRITTEN])
+        return rows.select(*self.schema.names)
+
+    def others(self, batch: Batch) -> DataFrame:
+        """The rows of all batches but this one and, of its stream, later ones."""
+        stream, number = self._named(batch)
+        return self.batches().filter((F.col(STREAM) != stream) | (F.col(BATCH) < number)).select(*self.schema.names)
 
-    def _added(self, version: int) -> DataFrame:
-        """The rows that a write brought and that are still live."""
-        return self._load([*self.live()["buckets"].values()]).filter(F.col(VERSION) == version).drop(VERSION)
+    def of(self, batch: Batch) -> DataFrame:
+        """The rows that one batch brought."""
+        stream, number = self._named(batch)
+        return self.batches().filter((F.col(STREAM) == stream) & (F.col(BATCH) == number)).select(*self.schema.names)
 
     # writing
 
-    def _store(self, rows: DataFrame, batch: Batch | None, new_keys_only: bool = False) -> int:
-        """Bring ``rows`` into the buckets they fall into; returns the new version."""
-        live = self.live()
-        version = live["version"] + 1
+    @staticmethod
+    def _named(batch: Batch | None) -> Batch:
+        if batch is None:
+            return uuid.uuid4().hex, 0
+        return hashlib.md5(batch[0].encode()).hexdigest(), batch[1]
+
+    def _store(self, rows: DataFrame, batch: Batch | None) -> None:
+        """Write ``rows`` as a batch. One that leaves no rows leaves what an earlier attempt wrote, so
+        a batch must be made from the same input each time, as Spark's checkpoints see to."""
+        stream, number = self._named(batch)
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        placed = rows.select(*columns).withColumn(VERSION, F.lit(version).cast("bigint")).withColumn(BUCKET, bucket)
-        placed = placed.persist()  # computed once for both uses below
-        try:
-            touched = [r[0] for r in placed.select(BUCKET).distinct().collect()]
-            stored = [live["buckets"][str(b)] for b in touched if str(b) in live["buckets"]]
-            every = placed
-            if stored:
-                old = self._load(stored)
-                fresh = new_only(placed, old, self.keys) if new_keys_only else placed
-                every = old.withColumn(BUCKET, bucket).unionByName(fresh)
-            # One shuffle by bucket serves the choice per key and leaves each bucket in one task.
-            every = every.repartition(self.buckets, BUCKET)
-            if self.order is not None and stored:  # the rows of one write have one per key already
-                every = last_by(every, [BUCKET, *self.keys], [*self.order, VERSION])
-            name = f"v{version:09d}-{uuid.uuid4().hex[:8]}"
-            schema = StructType([*self.schema.fields, StructField(VERSION, LongType()), StructField(BUCKET, IntegerType())])
-            every.select(*schema.names).write.partitionBy(BUCKET).parquet(f"{self.path}/data/{name}")
-        finally:
-            placed.unpersist()
-        found = (s.getPath().getName() for s in self._fs.listStatus(self._file(f"data/{name}")))
-        written = {f.split("=", 1)[1]: f"{name}/{f}" for f in found if f.startswith(f"{BUCKET}=")}
-        after = {
-            "version": version,
-            "buckets": live["buckets"] | written,
-            "before": [*live["buckets"].values()],
-            "batches": live["batches"] | ({batch[0]: [batch[1], version]} if batch else {}),
-        }
-        self._point(after)
-        self._forget(after)
-        return version
-
-    def upsert(self, changes: DataFrame, batch: Batch | None = None, unique: bool = False) -> bool:
-        """Apply ``changes``, last write wins. ``batch`` is (stream name, batch id).
-
-        A column ``seq`` of ``changes`` decides between changes of equal order. ``unique`` says that
-        ``changes`` has one row per key, which saves a shuffle. Returns False, and changes nothing,
-        if the batch had been applied before.
+        stamp = F.unix_micros(F.current_timestamp()).alias(WRITTEN)
+        named = rows.select(*columns, stamp, F.lit(stream).alias(STREAM), F.lit(number).cast("bigint").alias(BATCH))
+        self._write(named, "overwrite", "dynamic")
+
+    def upsert(self, changes: DataFrame, batch: Batch | None = None) -> None:
+        """Write ``changes``, last write wins; repeated, a batch replaces what it wrote before.
+
+        A column ``seq`` of ``changes`` decides between changes of equal order; without it, either of
+        two such changes of one batch may win.
         """
         if self.order is None:
             raise ValueError("this table has no order of writes")
-        with self._lock:
-            if self._applied(self.live(), batch):
-                return False
-            order = [*self.order, *(["seq"] if "seq" in changes.columns else [])]
-            self._store(changes if unique else last_by(changes, self.keys, order), batch)
-            return True
+        if "seq" in changes.columns:
+            changes = last_by(changes, self.keys, [*self.order, "seq"])
+        self._store(changes, batch)
 
     def insert(self, new: DataFrame, order: Sequence[Column | str], batch: Batch | None = None) -> DataFrame:
-        """Add the first row of each key that is not stored; returns the rows this batch added.
+        """Add the first row of each key that no other batch holds; returns the rows added.
 
-        A batch applied before adds nothing and returns the rows it added then.
+        Only the key columns of the table are read. Repeated, a batch adds the same rows again, in
+        place of those it added before. One process at a time may insert.
         """
-        with self._lock:
-            live = self.live()
-            if self._applied(live, batch):
-                applied, version = live["batches"][batch[0]]
-                return self._added(version if applied == batch[1] else -1)
-            filled = new.na.fill("", subset=self.keys)
-            return self._added(self._store(first_by(filled, self.keys, order), batch, new_keys_only=True))
-
-    def append(self, rows: DataFrame, batch: Batch | None = None) -> bool:
+        batch = batch or (uuid.uuid4().hex, 0)
+        self._store(insert_new(new, self.others(batch).select(*self.keys), self.keys, order), batch)
+        return self.of(batch)
+
+    def new_keys(self, changes: DataFrame, batch: Batch) -> DataFrame:
+        """The keys of ``changes`` that no other batch holds, each once."""
+        return new_only(changes.select(*self.keys).distinct(), self.others(batch).select(*self.keys), self.keys)
+
+    def append(self, rows: DataFrame, batch: Batch | None = None) -> None:
         """Add rows as they are, whatever their keys."""
-        with self._lock:
-            if self._applied(self.live(), batch):
-                return False
-            self._store(rows, batch)
-            return True
+        self._store(rows, batch)
+
+    def rewritten(self, path: str) -> KeyedTable:
+        """A new table at ``path`` with what a reader sees now, in one batch: to be run now and then
+        on a table of many small batches, whose readers and writers then move to the new path."""
+        target = KeyedTable(self.spark, path, self.schema, self.keys, self.order)
+        target._store(self.read(), ("rewritten", 0))
+        return target
 
     def clear(self) -> int:
-        """Empty the table and delete its files; returns how many rows it had. Streams keep their place."""
-        with self._lock:
-            removed = self.read().count()
-            live = self.live()
-            self._point({**live, "version": live["version"] + 1, "buckets": {}, "before": []})
-            self._fs.delete(self._file("data"), True)
-            return removed
+        """Empty the table and delete its files; returns how many rows it had."""
+        removed = self.read().count()
+        self._write(self.spark.createDataFrame([], self.stored), "overwrite", "static")
+        return removed
 
 
 def clear_all(*tables: KeyedTable) -> list[int]:

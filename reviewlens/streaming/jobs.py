@@ -1,8 +1,8 @@
 """The streaming jobs: ingest, two scorers, trend, bursts; starting, supervising, measuring them.
 
 A job's progress lives in its checkpoint folder. Restarted with the same folder it resumes; with a
-fresh one it replays from the start, which keyed upserts make harmless. Tables remember the last
-batch of each checkpoint, so a batch repeated after a crash is applied once.
+fresh one it replays from the start, which keyed tables make harmless. A batch repeated after a crash
+replaces what it had written.
 """
 
 from __future__ import annotations
@@ -10,11 +10,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
 from reviewlens.operators import analytics, ml
 from reviewlens.operators.documents import to_prediction
@@ -35,9 +37,10 @@ def trigger_opts(
 ) -> tuple[dict, dict]:
     """Source options and trigger for small batches: at most ``max_records`` every ``max_ms``.
 
-    A folder of text files is limited by files, not by records.
+    The ``text`` format is limited by files, not by records; ``landed`` takes the same folders by records.
     """
-    source = {"maxOffsetsPerTrigger": max_records} if fmt == "kafka" else {"maxFilesPerTrigger": max_files}
+    limits = {"kafka": {"maxOffsetsPerTrigger": max_records}, "landed": {"maxRecordsPerTrigger": max_records}}
+    source = limits.get(fmt, {"maxFilesPerTrigger": max_files})
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{max_ms} milliseconds"}
     return source, trigger
 
@@ -83,14 +86,46 @@ def _rejected(batch: DataFrame) -> DataFrame:
 
 def _last_arrivals(scored: DataFrame, stamp: Column) -> DataFrame:
     """The last version of each review in a batch: by prediction time, then by arrival."""
-    numbered, order = _in_order(scored.withColumn("_stamp", stamp.cast("bigint")))
+    numbered, order = in_order(scored.withColumn("_stamp", stamp.cast("bigint")))
     return last_by(numbered, ["review_id"], ["_stamp", *order])
 
 
-def _in_order(batch: DataFrame) -> tuple[DataFrame, list[str]]:
-    """A batch and the columns that order it by arrival: a task reads a file's lines one after the other."""
+def in_order(batch: DataFrame) -> tuple[DataFrame, list[str]]:
+    """A batch and the columns that order it by arrival: a task reads a file's lines one after the other.
+
+    Within a topic partition the offset decides. Producers may set a record's time, so across
+    partitions a record counts as no earlier than any record before it in its own partition.
+    """
     numbered = batch.withColumn("_line", F.monotonically_increasing_id())
-    return numbered, [*(["seq"] if "seq" in batch.columns else []), "_line"]
+    if "seq" not in batch.columns:
+        return numbered, ["_line"]
+    if "pos" in batch.schema["seq"].dataType.names:
+        # One task reads a partition's part of a batch anyway.
+        before = Window.partitionBy("seq.part").orderBy("seq.pos").rowsBetween(Window.unboundedPreceding, 0)
+        place = F.struct(F.max("seq.at").over(before).alias("at"), "seq.part", "seq.pos")
+        numbered = numbered.withColumn("_place", place).withColumn("seq", F.col("_place")).drop("_place")
+    return numbered, ["seq", "_line"]
+
+
+TOTALS = StructType().add("kind", "string").add("name", "string").add("n", "long")
+
+
+def totals_table(spark: SparkSession, path: str) -> KeyedTable:
+    """What each batch added to the totals: a few rows a batch, replaced if the batch is repeated."""
+    return KeyedTable(spark, path, TOTALS, ["kind", "name"], order=None)
+
+
+def running_totals(totals: KeyedTable, as_of: datetime) -> DataFrame:
+    """As ``analytics.snapshot`` of both tables, from the batches' counts: neither table is read."""
+    summed = totals.read().groupBy("kind", "name").agg(F.sum("n").alias("n"))
+    return analytics.stamped(summed.filter("n > 0"), as_of)
+
+
+def save_predictions(table: KeyedTable, rows: DataFrame, batch: tuple[str, int], totals: KeyedTable | None) -> None:
+    """Upsert a batch, and count the keys that no other batch holds, for which only the table's key columns are read."""
+    if totals is not None:
+        totals.append(analytics.tally(table.new_keys(rows, batch), "model", "pred"), batch)
+    table.upsert(rows, batch)
 
 
 def start_baseline(
@@ -102,12 +137,13 @@ def start_baseline(
     trigger: dict | None = None,
     errors: str | None = None,
     name: str = MODEL_BASELINE,
+    totals: KeyedTable | None = None,
 ) -> StreamingQuery:
     """Decode, drop short reviews, score by rules, upsert predictions.
 
     ``ts`` is the prediction time in epoch seconds, by default that of the batch; of versions with
     the same time the one that arrived last is kept. Rejected messages go to ``errors``, by default
-    a folder beside the checkpoint.
+    a folder beside the checkpoint; counts of new reviews to ``totals``.
     """
     rejects = errors or f"{checkpoint}.rejected"
 
@@ -115,7 +151,7 @@ def start_baseline(
         stamp = ts if ts is not None else F.unix_timestamp()
         with _cached(batch) as rows:
             scored = _last_arrivals(score_rules(filter_content(good(rows)), spec), stamp)
-            table.upsert(to_prediction(scored, MODEL_BASELINE, F.col("_stamp")), (checkpoint, batch_id), unique=True)
+            save_predictions(table, to_prediction(scored, MODEL_BASELINE, F.col("_stamp")), (checkpoint, batch_id), totals)
             _write_errors(_rejected(rows), rejects, batch_id)
 
     return _start(_decoded(messages), apply, name, checkpoint, trigger or trigger_opts()[1])
@@ -132,6 +168,7 @@ def start_model(
     labels: dict[int, str] = LABELS,
     batch_size: int = 128,
     name: str = MODEL_TRANSFORMER,
+    totals: KeyedTable | None = None,
 ) -> StreamingQuery:
     """As ``start_baseline`` with a Python model.
 
@@ -145,7 +182,7 @@ def start_model(
         decoded = filter_content(good(batch))
         with _cached(score_with(decoded, scorer_factory, batch_size, labels)) as scored:
             saved = _last_arrivals(resolve_failures(scored), stamp)
-            table.upsert(to_prediction(saved, MODEL_TRANSFORMER, F.col("_stamp")), (checkpoint, batch_id), unique=True)
+            save_predictions(table, to_prediction(saved, MODEL_TRANSFORMER, F.col("_stamp")), (checkpoint, batch_id), totals)
             lost = failed(scored)
             unsaved = lost.select(
                 "review_id", F.lit("unavailable").alias("reject_reason"),
@@ -158,22 +195,24 @@ def start_model(
 
 def start_ingest(
     messages: DataFrame, table: KeyedTable, out: str, checkpoint: str, trigger: dict | None = None,
-    name: str = "ingest", fmt: str = "text", errors: str | None = None, **options,
+    name: str = "ingest", fmt: str = "text", errors: str | None = None, totals: KeyedTable | None = None, **options,
 ) -> StreamingQuery:
     """Store each review once and publish the new ones.
 
     They go to files of ``fmt`` under ``out/batch=<n>/topic=<t>``, or with ``kafka`` to their topics
     (``options`` as for ``write_routed``). The table decides what is new, so a repeat that arrives
     much later is still recognised. Rejected messages go to ``errors``, by default a folder beside
-    the checkpoint.
+    the checkpoint; counts of new reviews to ``totals``.
     """
     rejects = errors or f"{checkpoint}.rejected"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         with _cached(batch) as rows:
-            numbered, arrived = _in_order(good(rows).drop("raw_value"))
+            numbered, arrived = in_order(good(rows).drop("raw_value"))
             added = table.insert(numbered, ["crawled_at", *arrived], (checkpoint, batch_id))
             write_routed(added, fmt, f"{out}/batch={batch_id:09d}", mode="overwrite", **options)
+            if totals is not None:
+                totals.append(analytics.tally(added, "platform", "raw"), (checkpoint, batch_id))
             _write_errors(_rejected(rows), rejects, batch_id)
 
     return _start(_decoded(messages), apply, name, checkpoint, trigger or trigger_opts()[1])
@@ -209,6 +248,46 @@ def start_trend(
     )
 
 
+TREND = StructType().add("window_start", "long").add("window_end", "long").add("pred_label_vn", "string")
+TREND = TREND.add("n", "long").add("late", "long").add("newest", "long")
+
+
+def trend_table(spark: SparkSession, path: str) -> KeyedTable:
+    """What each batch added to the windows; ``newest`` is the batch's last event."""
+    return KeyedTable(spark, path, TREND, ["window_start", "pred_label_vn"], order=None)
+
+
+def start_live_trend(
+    predictions: DataFrame, table: KeyedTable, checkpoint: str, window_seconds: int = 300, delay_seconds: int = 600,
+    trigger: dict | None = None, name: str = "live-trend",
+) -> StreamingQuery:
+    """Label counts per window while it is open: every batch adds its own counts to ``table``.
+
+    A row whose window had ended ``delay_seconds`` before the last event of the batches before is
+    ``late``: it counts, and is counted apart. A windowed aggregation of Spark would drop it without a trace,
+    and would keep the open windows in its state; here there is none but the table.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        here = (checkpoint, batch_id)
+        seen = table.others(here).agg(F.max("newest")).first()[0]  # one number
+        start = F.floor(F.col("ts") / window_seconds) * window_seconds
+        closed = F.lit(False) if seen is None else F.col("window_end") <= seen - delay_seconds
+        timed = batch.select(start.alias("window_start"), (start + window_seconds).alias("window_end"), "pred_label_vn", "ts")
+        counted = timed.groupBy("window_start", "window_end", "pred_label_vn").agg(
+            F.count("*").alias("n"), F.count_if(closed).alias("late"), F.max("ts").alias("newest")
+        )
+        table.append(counted, here)
+
+    return _start(predictions, apply, name, checkpoint, trigger or trigger_opts()[1])
+
+
+def live_trend(table: KeyedTable) -> DataFrame:
+    """``window_start, window_end, pred_label_vn, n, late`` of all windows begun so far."""
+    groups = table.read().groupBy("window_start", "window_end", "pred_label_vn")
+    return groups.agg(F.sum("n").alias("n"), F.sum("late").alias("late"))
+
+
 BURST = "product_id string, review_id string, ts bigint, burst_start bigint"
 BURST_STATE = "past array<bigint>, times array<bigint>, ids array<string>, owns array<bigint>"
 
@@ -358,6 +437,16 @@ def _progress_row(p) -> tuple:
     return (str(p.runId), p.name, p.batchId, p.timestamp, p.numInputRows, rate, duration, *outcomes)
 
 
+def state_seen(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """One row ``keys, batches``: the keyed rows in the state of a stream that is not running, and the
+    input batches it has committed, read from its checkpoint by Spark's state source."""
+    keys = spark.read.format("statestore").load(checkpoint).agg(F.count("*")).scalar()
+    commits = spark.read.text(f"{checkpoint}/offsets").select(F.input_file_name().alias("file"), "value")
+    # An offsets file is a version, the watermark, and the place in the source; a batch without new input repeats the place.
+    places = commits.filter(F.col("value").startswith("{\"logOffset\"")).select("value").distinct().agg(F.count("*")).scalar()
+    return spark.range(1).select(keys.alias("keys"), places.alias("batches"))
+
+
 def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """The recent batches of a query (Spark keeps at most 100), with the record counters."""
     return spark.createDataFrame([_progress_row(p) for p in query.recentProgress], PROGRESS)
@@ -370,9 +459,10 @@ def record_progress(spark: SparkSession, batches: DataFrame, path: str) -> None:
     )
 
 
-def count_predictions(table: KeyedTable) -> Callable[[], DataFrame]:
-    """Counts per model, as a recorder's periodic summary."""
-    return lambda: table.read().groupBy("model").agg(F.count("*").alias("n"))
+def count_predictions(totals: KeyedTable) -> Callable[[], DataFrame]:
+    """Counts per model, as a recorder's periodic summary; the predictions themselves are not read."""
+    counted = lambda: totals.read().filter("kind = 'pred_model'")
+    return lambda: counted().groupBy(F.col("name").alias("model")).agg(F.sum("n").alias("n"))
 
 
 class ProgressRecorder(StreamingQueryListener):

@@ -10,7 +10,8 @@ from conftest import rows
 from reviewlens.operators import analytics as A, paging as P
 from reviewlens.operators.filters import recent, search_products
 from reviewlens.operators.keyed import cap_per_group, first_by
-from reviewlens.operators.models import lexicon_scorer, resolve_failures, score_with
+from reviewlens.operators.models import resolve_failures, score_with
+from reviewlens.plans.scorer import lexicon_scorer
 from reviewlens.operators.scoring import score_rules
 from reviewlens.plans.catalog import all_queries
 from reviewlens.plans.data import arrivals

@@ -10,7 +10,8 @@ from conftest import rows
 from reviewlens.operators import analytics as A
 from reviewlens.operators.documents import to_prediction
 from reviewlens.operators.filters import filter_content
-from reviewlens.operators.models import ScorerUnavailable, attach_by_key, lexicon_scorer, resolve_failures, score_with
+from reviewlens.operators.models import ScorerUnavailable, attach_by_key, resolve_failures, score_with
+from reviewlens.plans.scorer import lexicon_scorer
 from reviewlens.operators.scoring import score_rules
 from reviewlens.schema import LABELS_NEUTRAL_MIDDLE, PREDICTION, REVIEW
 from reviewlens.sources.decode import decode_reviews, good
@@ -50,7 +51,7 @@ def land(folder, files=FILES):
 
 
 def predictions_table(spark, tmp_path, name="pred", **options):
-    return KeyedTable(spark, str(tmp_path / name), PREDICTION, ["review_id", "model"], buckets=4, **options)
+    return KeyedTable(spark, str(tmp_path / name), PREDICTION, ["review_id", "model"], **options)
 
 
 def run_baseline(spark, src, table, checkpoint, **options):
@@ -99,10 +100,11 @@ def test_last_arrival_wins_in_one_batch(spark, tmp_path):
 
 def test_recorder_counts_each_batch_once(spark, tmp_path):
     table, path = predictions_table(spark, tmp_path), str(tmp_path / "metrics")
-    recorder = J.ProgressRecorder(spark, path, every=0.0, summary=J.count_predictions(table))
+    totals = J.totals_table(spark, str(tmp_path / "totals"))
+    recorder = J.ProgressRecorder(spark, path, every=0.0, summary=J.count_predictions(totals))
     spark.streams.addListener(recorder)
     try:
-        query = run_baseline(spark, land(tmp_path / "src"), table, str(tmp_path / "c"))
+        query = run_baseline(spark, land(tmp_path / "src"), table, str(tmp_path / "c"), totals=totals)
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
         for _ in range(2):
             J.record_progress(spark, J.progress(spark, query), path)
@@ -115,9 +117,12 @@ def test_recorder_counts_each_batch_once(spark, tmp_path):
 def test_repeated_batch_is_applied_once(spark, tmp_path):
     table = predictions_table(spark, tmp_path)
     df = to_prediction(score_rules(good(decode_reviews(spark.createDataFrame([(m,) for m in FILES[0]], "value string")))), "m", crawled())
-    assert table.upsert(df, ("s", 0)) and not table.upsert(df, ("s", 0))
-    assert table.live()["version"] == 1
-    assert table.upsert(df, ("s", 1)) and table.read().count() == 6
+    table.upsert(df, ("s", 0))
+    table.upsert(df, ("s", 0))
+    assert table.batches().count() == 6
+    table.upsert(df, ("s", 1))
+    assert table.batches().count() == 12 and table.read().count() == 6
+    assert table.new_keys(df, ("s", 0)).count() == 6 and table.new_keys(df, ("s", 1)).count() == 0
 
 
 def test_model_failures(spark, tmp_path):
@@ -167,7 +172,7 @@ def test_attach_fails_on_a_missing_prediction(spark):
 
 
 def test_ingest_publishes_each_review_once(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "raw"), REVIEW, ["review_id"], order=None, buckets=4)
+    table = KeyedTable(spark, str(tmp_path / "raw"), REVIEW, ["review_id"], order=None)
     src, out = land(tmp_path / "src"), str(tmp_path / "out")
     for checkpoint in ("c1", "c1", "c2"):
         stream = read_review_stream(spark, "text", src, maxFilesPerTrigger=1)
@@ -186,7 +191,7 @@ def test_ingest_publishes_each_review_once(spark, tmp_path):
 
 
 def test_table_append_clear_and_conflict(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "t"), REVIEW, ["review_id"], order=None, buckets=2)
+    table = KeyedTable(spark, str(tmp_path / "t"), REVIEW, ["review_id"], order=None)
     assert table.read().count() == 0 and table.clear() == 0
     df = table.read().limit(0).unionByName(spark.range(5).select(F.col("id").cast("string").alias("review_id")), allowMissingColumns=True)
     table.append(df)
@@ -200,7 +205,7 @@ def test_table_append_clear_and_conflict(spark, tmp_path):
     assert table.read().count() == 5
 
 
-def test_many_small_writes_keep_the_last_one_and_few_files(spark, tmp_path):
+def test_many_small_writes_keep_the_last_one(spark, tmp_path):
     table = predictions_table(spark, tmp_path)
     empty = table.read().limit(0)
     for n in range(7):
@@ -211,10 +216,21 @@ def test_many_small_writes_keep_the_last_one_and_few_files(spark, tmp_path):
         table.upsert(empty.unionByName(change, allowMissingColumns=True))
     # ts decides first, then the later write: batches 0, 2, 4, 6 have ts 2.
     assert state(table) == [("0", 6, 2), ("1", 6, 2), ("2", 6, 2)]
-    for n in range(33):
-        table.upsert(empty.unionByName(change.withColumn("ts", F.lit(n).cast("bigint")), allowMissingColumns=True))
-    assert len([f for f in (tmp_path / "pred").rglob("*.parquet")]) <= 2 * 4
-    assert "Exchange" not in table.read()._jdf.queryExecution().executedPlan().toString()
+    one = table.rewritten(str(tmp_path / "one"))
+    assert state(one) == state(table) and one.batches().count() == 3
+
+
+def test_a_write_writes_its_own_rows_alone(spark, tmp_path):
+    table = predictions_table(spark, tmp_path)
+    empty, names = table.read().limit(0), [F.lit("m").alias("model"), F.lit(1).cast("bigint").alias("ts")]
+    rows_of = lambda first, n: spark.range(first, first + n).select(F.col("id").cast("string").alias("review_id"), *names)
+    table.upsert(empty.unionByName(rows_of(0, 20_000), allowMissingColumns=True), ("a", 0))
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "pred").rglob("*.parquet")}
+    table.upsert(empty.unionByName(rows_of(19_990, 128), allowMissingColumns=True), ("a", 1))
+    after = {f: f.stat().st_mtime_ns for f in (tmp_path / "pred").rglob("*.parquet")}
+    assert {f: after[f] for f in files} == files
+    new = [str(f) for f in after if f not in files]
+    assert spark.read.parquet(*new).count() == 128 and table.read().count() == 20_118
 
 
 def test_run_all_restarts_a_job_that_dies(spark, tmp_path):
@@ -294,7 +310,7 @@ def test_refit_saves_a_model_per_batch(spark, tmp_path):
 
     lines = [message(i, rating=5 if i % 2 else 1, content="tốt lắm" if i % 2 else "rất tệ") for i in range(12)]
     src = land(tmp_path / "src", [[message(50, rating=3)], lines[:6], lines[6:]])
-    table = KeyedTable(spark, str(tmp_path / "t"), REVIEW, ["review_id"], order=None, buckets=2)
+    table = KeyedTable(spark, str(tmp_path / "t"), REVIEW, ["review_id"], order=None)
     stream = read_review_stream(spark, "text", src, maxFilesPerTrigger=1)
     J.start_refit(stream, table, str(tmp_path / "m"), str(tmp_path / "c"), every=1, trigger=ONCE, max_iter=5).awaitTermination()
     assert sorted(os.listdir(tmp_path / "m")) == ["batch=000000001", "batch=000000002"]
