@@ -23,11 +23,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: lineage ends here, and every reader sees the same rows."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Spark's setting for removing a query's shuffle files once the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: lineage ends here, and every reader sees the same rows.
+
+    With ``clean``, the shuffle files of the write are removed at its end and not with the garbage of
+    the driver; for frames that are written and not used again.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP)
+    if clean:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 #: Rows of an Arrow batch. Texts are large rows: at Spark's default a batch of them takes up to
@@ -143,22 +157,30 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-#: Items summed in one step of a running sum.
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: a lambda recomputes an expression at each mention."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+#: Items combined in one step of a running sum or maximum.
 STEP = 256
 
 
-def running(lengths: Column) -> Column:
-    """The sum of all earlier items, for each item of an array of ints.
+def running(items: Column, combine: Callable[[Column, Column], Column] = lambda a, x: a + x, zero: int = 0) -> Column:
+    """What ``combine`` makes of all earlier items (by default their sum), for each item of an array of ints.
 
-    Sums run inside blocks and over the blocks, so that no long array is copied once per item.
+    It runs inside blocks and over the blocks, so that no long array is copied once per item.
     """
+    return let(items, lambda known: _running(known, combine, zero))
+
 
-    def sums(items: Column, first: Column) -> Column:
+def _running(items: Column, combine: Callable[[Column, Column], Column], zero: int) -> Column:
+    def along(values: Column, first: Column) -> Column:
         begin = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
-        step = lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out"))
-        return F.aggregate(items, begin, step)["out"]
+        step = lambda a, x: F.struct(combine(a["at"], x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out"))
+        return F.aggregate(values, begin, step)["out"]
 
-    blocks = F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / STEP).cast("int"))
-    part = lambda b: F.slice(lengths, b * STEP + 1, STEP)
-    totals = F.transform(blocks, lambda b: F.aggregate(part(b), F.lit(0), lambda a, x: a + x))
-    return F.flatten(F.zip_with(blocks, sums(totals, F.lit(0)), lambda b, first: sums(part(b), first)))
+    blocks = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / STEP).cast("int"))
+    part = lambda b: F.slice(items, b * STEP + 1, STEP)
+    totals = F.transform(blocks, lambda b: F.aggregate(part(b), F.lit(zero), combine))
+    return F.flatten(F.zip_with(blocks, along(totals, F.lit(zero)), lambda b, first: along(part(b), first)))

@@ -72,7 +72,7 @@ def test_passages_cover_every_shared_run_and_leave_the_rest(spark):
     # Of the exact copies, one document keeps the passage; the others lose all of it.
     gone = defaultdict(set)
     for r in found.filter("removed").collect():
-        gone[r.doc_id].update(range(r.first_word, r.first_word + 50))
+        gone[r.doc_id].update(range(r.first_word, r.first_word + r.n_words))
     kept = [i for (i, _), covered in zip(given, shared_runs(words, 50), strict=True) if covered and not gone[i]]
     assert kept.count(None) == 1 and not {101, 102, 103, 104, 105, 160} & set(kept)
     assert passages.repeated_passages(table.filter("false")).count() == 0
@@ -95,7 +95,7 @@ def test_pieces_are_alike_whatever_surrounds_them():
     cores = []
     for _ in range(40):
         before, after = ([f"x{rnd.random()}" for _ in range(rnd.randint(0, 90))] for _ in range(2))
-        own = passages.Pieces([" ".join([*before, *shared, *after]).encode()], passages.WordHashes(), 50, 5)
+        own = passages.Pieces([" ".join([*before, *shared, *after]).encode()], passages.WordHashes(), 50, 5, 25)
         at = own.at - own.offset
         inside = (at >= len(before)) & (at + 25 <= len(before) + 50)
         cores.append(set(own.core[inside].tolist()))
