@@ -68,16 +68,19 @@ def presence(texts: list[bytes | None]) -> np.ndarray:
     return found
 
 
-def picked(docs: DataFrame, id_col: str, lang: str, per_lang: int, total: int) -> list:
-    """Ids of at most ``per_lang`` labelled rows of each language and ``total`` in all, by a hash of the id."""
-    labelled = docs.select(F.col(id_col).alias("id"), F.col(lang).alias("lang")).dropna()
-    order = [F.xxhash64("id", F.lit(8)), F.col("id")]
-    ranked = labelled.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(PARTS)))
+def picked(docs: DataFrame, per_lang: int, total: int) -> DataFrame:
+    """``id, lang, text`` of at most ``per_lang`` labelled rows of each language and ``total`` in all, by a
+    hash of the id. Rows are chosen by id, language and a hash of the text: equal ones count once, and
+    rows that share an id are rows of their own."""
+    labelled = docs.filter(F.col("id").isNotNull() & F.col("lang").isNotNull()).withColumn("h", F.xxhash64("text"))
+    order = [F.xxhash64("id", F.lit(8)), F.col("id"), F.col("h")]
+    ranked = labelled.select("id", "lang", "h").distinct().withColumn("part", F.pmod(F.xxhash64("id", "h"), F.lit(PARTS)))
     for group in (["lang", "part"], ["lang"]):  # a language is thinned in parts first, so no task meets all its rows
         ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
         ranked = ranked.filter(F.col("rank") <= per_lang)
-    chosen = ranked.orderBy("rank", *order).limit(total)
-    return [r["id"] for r in chosen.select("id").collect()]
+    keys = ranked.orderBy("rank", *order).limit(total).select("id", "lang", "h").collect()  # ``total`` rows at most
+    chosen = docs.sparkSession.createDataFrame(keys, labelled.select("id", "lang", "h").schema)
+    return labelled.join(F.broadcast(chosen), ["id", "lang", "h"], "left_semi").dropDuplicates(["id", "lang", "h"])
 
 
 def fit(
@@ -96,16 +99,17 @@ def fit(
     of the numbers each holds. Landmarks (a part of the sample, languages alike) give Nyström
     features; ridge regression on them scores each language against the rest. As a score is linear
     in the kernel row, and that in the text's presence vector, the product of landmarks and weights
-    is kept as one slots x languages matrix. The driver receives presence bits only (2 KB a row).
+    is kept as one slots x languages matrix. The driver receives presence bits only (2 KB a row), of
+    ``max_rows`` rows at most, however often rows or ids repeat.
     """
-    ids = picked(docs, id_col, lang, per_lang, max_rows)
-    chosen = docs.filter(F.col(id_col).isin(ids)).filter(F.col(lang).isNotNull())
+    named = docs.select(F.col(id_col).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    chosen = picked(named, per_lang, max_rows)
 
     def make(texts: list[bytes | None]) -> list[pa.Array]:
         return [pa.array([np.packbits(presence([t])[0]).tobytes() for t in texts], pa.binary())]
 
-    rows = add_columns(chosen, text, [StructField("_bits", BinaryType())], make, [id_col, lang])
-    sample = sorted({(r[0], r[1], bytes(r[2])) for r in rows.collect()}) if ids else []
+    rows = add_columns(chosen, "text", [StructField("_bits", BinaryType())], make, ["id", "lang"])
+    sample = sorted({(r[0], r[1], bytes(r[2])) for r in rows.collect()})
     if not sample:
         return Model((), np.zeros((SLOTS, 0), np.float32))
     langs = tuple(sorted({r[1] for r in sample}))
