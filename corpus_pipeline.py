@@ -17,36 +17,47 @@ from reviewlens.llm.common import table, written
 LEAST_SCORE = 0.15
 
 
+def packed_rows(docs: DataFrame, *columns) -> DataFrame:
+    """The given rows as one struct ``row``, beside columns that a stage works with: no names can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, text=None) -> DataFrame:
+    """The columns of ``docs``, with a new text and its length if one is given."""
+    new = {} if text is None else {"text": text, "n_chars": F.length(text).cast("bigint")}
+    return rows.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; texts without a letter or far from all languages go."""
     model = language.fit(docs.filter(~language.held_out()))
-    known = language.identify(docs, model, pred="_lang", score="_score")
-    kept = (F.col("_lang") != language.UNDETERMINED) & (F.col("_score") >= LEAST_SCORE)
-    return known.filter(kept).select(*docs.columns)
+    known = language.identify(packed_rows(docs, "text"), model, keep=["row"], pred="lang", score="score")
+    kept = (F.col("lang") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    return unpacked(known.filter(kept), docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
-    keyed = docs.withColumn("_key", F.struct("doc_id", repeats.text_key().alias("text_id")))
-    groups = simhash.near_duplicates(keyed, "_key", width=4, radius=4)
-    firsts = groups.filter("_key = component_id").select("_key").distinct()
-    order = Window.partitionBy("_key").orderBy(*[F.col(c) for c in docs.columns if c not in ("doc_id", "text")])
-    once = keyed.join(firsts, "_key", "left_semi").withColumn("_turn", F.row_number().over(order))
-    return once.filter("_turn = 1").select(*docs.columns)
+    key = F.struct("doc_id", repeats.text_key().alias("text_id")).alias("key")
+    groups = simhash.near_duplicates(docs.select(key, "text"), "key", width=4, radius=4)
+    firsts = groups.filter("key = component_id").select("key").distinct()
+    order = Window.partitionBy("key").orderBy(*[F.col("row").getField(c) for c in docs.columns if c not in ("doc_id", "text")])
+    once = packed_rows(docs, key).join(firsts, "key", "left_semi").withColumn("turn", F.row_number().over(order))
+    return unpacked(once.filter("turn = 1"), docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 200 bytes or more that occur anywhere else."""
     cut = repeats.without_repeats(docs, length=200, whole_chars=True)
-    cut = cut.select(F.col("text_id").alias("_text_id"), F.col("kept").cast("string").alias("_kept"))
-    joined = docs.withColumn("_text_id", repeats.text_key()).join(cut, "_text_id", "left")
-    return with_text(docs, joined, F.coalesce("_kept", "text"))
+    cut = cut.select("text_id", F.col("kept").cast("string").alias("kept"))
+    joined = packed_rows(docs, repeats.text_key().alias("text_id")).join(cut, "text_id", "left")
+    return unpacked(joined, docs, F.coalesce("kept", "row.text"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a mark in place of each secret."""
-    found = secrets.scan(docs, out="_spans")
-    return with_text(docs, found, secrets.redacted(F.col("text"), F.col("_spans")))
+    found = secrets.scan(packed_rows(docs, "text"), out="spans")
+    return unpacked(found, docs, secrets.redacted(F.col("text"), F.col("spans")))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,12 +65,6 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.packed(docs, size=1024, end_id=2)
 
 
-def with_text(docs: DataFrame, rows: DataFrame, text) -> DataFrame:
-    """``rows`` with a new text and its length, in the columns of ``docs``."""
-    changed = rows.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint"))
-    return changed.select(*docs.columns)
-
-
 STAGES = [
     ("language ID", language_id),
     ("SimHash near-dedup", simhash_near_dedup),

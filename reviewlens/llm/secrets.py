@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from reviewlens.llm.common import running, text_or_empty
+from reviewlens.llm.common import let, running, text_or_empty
 
 #: Kinds in the order in which spans of one start are listed. Fixed values.
 KINDS = ("assign", "access", "hex", "random")
@@ -166,17 +166,13 @@ def encoding_of(value: Column) -> Column:
 
 def parts(run: Column) -> Column:
     """The parts of a run (``start``, ``value``) between ``/ + - _`` that are long enough for the tests."""
-    begin = F.struct(
-        run["start"].alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out")
+    found = F.split(run["value"], "[/+_-]", -1)
+    begin = running(F.transform(found, lambda x: F.length(x) + 1))
+    spans = F.zip_with(
+        found, begin,
+        lambda x, at: F.struct((run["start"] + at).alias("start"), (run["start"] + at + F.length(x)).alias("end"), x.alias("value")),
     )
-
-    def step(a: Column, x: Column) -> Column:
-        end = a["at"] + F.length(x)
-        part = F.struct(a["at"].alias("start"), end.alias("end"), x.alias("value"))
-        out = F.when(F.length(x) >= LEAST, F.concat(a["out"], F.array(part))).otherwise(a["out"])
-        return F.struct((end + 1).alias("at"), out.alias("out"))
-
-    return F.aggregate(F.split(run["value"], "[/+_-]"), begin, step)["out"]
+    return F.filter(spans, lambda c: F.length(c["value"]) >= LEAST)
 
 
 def with_candidates(docs: DataFrame, text: str, out: str) -> DataFrame:
@@ -247,12 +243,20 @@ def scan(
     reject randomness at the corpus's false-discovery threshold (``thresholds``, from
     ``ordinary_below`` by default); those inside another span are left out.
 
+    The threshold bounds the random strings among those cleared, that is the missed secrets. Nothing
+    bounds the false reports: an ordinary string of mixed letters and digits that looks no more
+    regular than chance, such as a long identifier, is reported.
+
     Whole texts are searched. A null text counts as empty and has no spans, like an empty table no
-    rows; repeated rows get the same spans. A column of ``docs`` with the name ``out`` is replaced.
+    rows; repeated rows get the same spans. A column of ``docs`` with the name ``out`` is replaced;
+    all others are kept, whatever their names.
     """
     if thresholds is None:
         thresholds = ordinary_below(docs, text)
-    df = docs.drop(out).withColumn("_scanned", text_or_empty(text))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != out]
+    # The given columns travel in one struct, so that no name of theirs can clash with those used here.
+    given = F.struct(*rest) if rest else F.struct(F.lit(0).alias("none"))
+    df = docs.select(given.alias("_given"), text_or_empty(f"`{text}`").alias("_scanned"))
     df = located(df, "_scanned", ASSIGN, "_assign", 2)
     df = located(df, "_scanned", ACCESS, "_access")
     df = located(df, "_scanned", HEX, "_hex")
@@ -263,17 +267,25 @@ def scan(
         order = F.lit(KINDS.index(kind))
         return lambda c: F.struct(c["start"].alias("start"), order.alias("order"), c["end"].alias("end"), F.lit(kind).alias("kind"))
 
-    base = F.concat(*[F.transform(f"_{kind}", span(kind)) for kind in KINDS[:3]])
-    df = df.withColumn("_base", base)
     random = F.col("_random")
     if thresholds:
         limits = F.create_map(*[F.lit(x) for pair in sorted(thresholds.items()) for x in pair])
         random = F.filter(random, lambda c: c["p"] > F.coalesce(F.try_element_at(limits, c["class"]), F.lit(0.0)))
-    random = F.filter(
-        random, lambda c: ~F.exists("_base", lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"]))
-    )
-    df = df.withColumn(out, F.array_sort(F.concat("_base", F.transform(random, span("random")))))
-    return df.drop("_scanned", "_assign", "_access", "_hex", "_random", "_base")
+    every = [F.transform(f"_{kind}", span(kind)) for kind in KINDS[:3]] + [F.transform(random, span("random"))]
+    df = df.withColumn("_every", F.array_sort(F.concat(*every)))
+    # In this order a span that another one holds comes after it: its end is no later than the latest so far.
+    base_end = lambda c: F.when(c["order"] < len(KINDS) - 1, c["end"]).otherwise(0)
+    df = df.withColumn("_reach", reach(F.transform("_every", base_end)))
+    known = F.zip_with("_every", "_reach", lambda c, r: F.struct(c.alias("c"), r.alias("r")))
+    kept = F.filter(known, lambda x: (x["c"]["order"] < len(KINDS) - 1) | (x["r"] < x["c"]["end"]))
+    columns = [F.col("_given").getField(c).alias(c) for c in docs.columns if c != out]
+    return df.select(*columns, F.transform(kept, lambda x: x["c"]).alias(out))
+
+
+def reach(ends: Column) -> Column:
+    """The greatest of all earlier items, for each item of an array of ints; 0 before the first."""
+    none = F.array().cast("array<int>")
+    return F.when(F.size(ends) > 0, running(ends, lambda a, x: F.greatest(a, x))).otherwise(none)
 
 
 def listed(spans: Column) -> Column:
@@ -285,17 +297,30 @@ def of_kind(spans: Column, *kinds: str) -> Column:
     return F.filter(spans, lambda c: c["kind"].isin(*kinds))
 
 
+#: Marks that are put into one piece of a text.
+MARKS = 256
+
+
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """``text`` with each run of overlapping or touching spans replaced by ``mark``."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, c: Column) -> Column:
-        fresh = (c["start"] > a["at"]) | (a["at"] == 0)
-        gap = F.substring(text, a["at"] + 1, F.greatest(c["start"] - a["at"], F.lit(0)))
-        return F.struct(
-            F.greatest(a["at"], c["end"]).alias("at"),
-            F.when(fresh, F.concat(a["out"], gap, F.lit(mark))).otherwise(a["out"]).alias("out"),
-        )
-
-    done = F.aggregate(spans, begin, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    """``text`` with each run of overlapping or touching spans replaced by ``mark``.
+
+    The gaps between the runs are cut out of pieces of the text with ``MARKS`` runs each and joined
+    once, as finding a place in a text takes as long as the text before it.
+    """
+    place = lambda name: F.transform(spans, lambda c: c[name])
+    placed = F.zip_with(place("start"), reach(place("end")), lambda s, r: F.struct(s.alias("start"), r.alias("reach")))
+    # A run begins at each start beyond all earlier ends; the run before it ends where those reach.
+    fresh = F.filter(placed, lambda c, i: (i == 0) | (c["start"] > c["reach"]))
+    last = F.aggregate(spans, F.lit(0), lambda a, c: F.greatest(a, c["end"]))
+    gaps = F.concat(fresh, F.array(F.struct(F.length(text).alias("start"), last.alias("reach"))))
+
+    def cut(own: Column) -> Column:
+        first, last_ = F.get(own, 0)["reach"], F.get(own, F.size(own) - 1)["start"]
+        piece = F.array_repeat(F.struct(F.substring(text, first + 1, last_ - first).alias("text"), first.alias("at")), F.size(own))
+        return F.zip_with(own, piece, lambda g, p: F.substring(p["text"], g["reach"] - p["at"] + 1, g["start"] - g["reach"]))
+
+    def joined(gaps: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(gaps) - 1) / MARKS).cast("int"))
+        return F.array_join(F.flatten(F.transform(blocks, lambda b: let(F.slice(gaps, b * MARKS + 1, MARKS), cut))), mark)
+
+    return F.when(F.size(spans) > 0, let(gaps, joined)).otherwise(text)

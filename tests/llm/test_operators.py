@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on small tables with every awkward case."""
 
 import hashlib
+import math
 import random
 import re
 import string
@@ -235,6 +236,63 @@ def test_similar_links_of_large_cells_equal_pairs():
         assert classes(paragraphs.similar_links(sets, side, within, 0.8)) == classes(pairs)
 
 
+def kernel_ridge_by_force(sample, texts, landmarks, ridge):
+    """Languages and scores by plain sets of slots, kernel rows, Nyström features and ridge regression."""
+
+    def slots(text):
+        data = (text or "").encode().translate(language.FOLD)
+        found = set()
+        for n in language.ORDERS:
+            for i in range(len(data) - n + 1):
+                gram = 0
+                for byte in data[i : i + n]:
+                    gram = (gram * 257 + byte) & 0xFFFFFFFF
+                found.add((((gram * 2_654_435_769) & 0xFFFFFFFF) ^ (n * 0x9E37)) >> 18)
+        return found
+
+    sets = [(k, slots(t)) for _, k, t in sample]
+    langs = sorted({k for k, _ in sets})
+    kernel = lambda a, b: len(a & b) / math.sqrt(max(len(a), 1) * max(len(b), 1))
+    turn, count = [], Counter()
+    for k, _ in sets:
+        turn.append(count[k])
+        count[k] += 1
+    # Equal turns and languages do not occur twice, so the landmarks are settled.
+    marks = [s for _, _, (_, s) in sorted(zip(turn, [langs.index(k) for k, _ in sets], sets, strict=True), key=lambda x: x[:2])][:landmarks]
+    value, vector = np.linalg.eigh(np.array([[kernel(a, b) for b in marks] for a in marks]))
+    use = value > 1e-8 * value.max()
+    whiten = vector[:, use] / np.sqrt(value[use])
+    features = np.array([[kernel(s, m) for m in marks] for _, s in sets]) @ whiten
+    weight = np.array([len(sets) / len(langs) / count[k] for k, _ in sets])[:, None]
+    target = np.array([[float(k == x) for x in langs] for k, _ in sets])
+    beta = np.linalg.solve(features.T @ (weight * features) + ridge * np.eye(features.shape[1]), features.T @ (weight * target))
+    out = np.array([[kernel(slots(t), m) for m in marks] for t in texts]) @ whiten @ beta
+    return [langs[i] for i in out.argmax(axis=1)], np.clip(out.max(axis=1), 0, 1)
+
+
+def test_language_equals_plain_kernel_ridge(spark):
+    rnd = random.Random(19)
+    kinds = {"aa": "anda enta orta ista".split(), "bb": "brum krim stüp fläk".split(), "cc": "lio mea sui tao".split()}
+    rows = [(i, rnd.choice(list(kinds)), None) for i in range(60)]
+    rows = [(i, k, " ".join(rnd.choices(kinds[k], k=rnd.randint(2, 30)) + rnd.choices(kinds["aa"], k=2)) + f" {i}!") for i, k, _ in rows]
+    table = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    model = language.fit(table, per_lang=300, landmarks=20, ridge=0.1)
+    out = sorted(language.identify(table, model).collect())
+    # The sample in the order of ``fit``: by id, language and bits.
+    langs, scores = kernel_ridge_by_force(rows, [r[2] for r in rows], 20, 0.1)
+    assert [r.lang_pred for r in out] == langs
+    assert np.allclose([r.score for r in out], scores, atol=2e-4)
+
+
+def test_the_language_sample_is_bounded_by_rows(spark):
+    rows = [(7, f"text number {i % 900}", "aa") for i in range(3000)] + [(i, f"other {i}", "bb") for i in range(100, 160)]
+    table = spark.createDataFrame(rows, "id bigint, text string, lang string")
+    chosen = language.picked(table, 40, 70).collect()
+    assert len(chosen) == 70 and Counter(r.lang for r in chosen).keys() == {"aa", "bb"}
+    assert max(Counter(r.lang for r in chosen).values()) <= 40
+    assert len({(r.id, r.text) for r in chosen}) == 70
+
+
 def test_language_learns_and_tells_letters(spark, docs):
     rnd = random.Random(5)
     kinds = {"aa": "anda enta orta ista ulta".split(), "bb": "brum krim stüp fläk zorg".split(), "cc": "lio mea sui tao nie".split()}
@@ -284,6 +342,142 @@ def test_secret_spans_and_redaction(spark):
     assert secrets.scan(table.filter("false")).count() == 0
 
 
+CLASHING = ("_given", "_scanned", "_every", "_reach", "_assign", "_access", "_hex", "_random", "_cand", "_part", "_at", "_start",
+            "_between", "_found", "_value", "_gap", "_long", "_both", "_tested", "_text", "none", "c")
+
+
+def test_scan_keeps_every_given_column(spark):
+    given = [("doc_id", 1), ("text", "secret=abcdefgh1 and " + "0f" * 20), *((c, i) for i, c in enumerate(CLASHING))]
+    table = spark.createDataFrame([tuple(v for _, v in given)], [c for c, _ in given])
+    out = secrets.scan(table, out="spans")
+    assert out.columns == [*table.columns, "spans"] and tuple(out.first())[:-1] == tuple(v for _, v in given)
+    assert [s.kind for s in out.first().spans] == ["assign", "hex"]
+
+
+def test_many_secrets_in_one_long_text(spark):
+    import time
+
+    text = "é secret=abcdefgh1 " * 60_000
+    table = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    started = time.monotonic()
+    out = secrets.scan(table, thresholds={}).select(secrets.redacted(F.col("text"), F.col("secret_spans")).alias("red")).first()
+    assert out.red == "é [SECRET] " * 60_000
+    assert time.monotonic() - started < 60
+
+
+def test_redaction_merges_overlapping_and_touching_spans(spark):
+    rnd = random.Random(13)
+    rows = []
+    for n in (0, 1, 2, 5, 40, 700):
+        for _ in range(6):
+            length = rnd.randint(0, 4 * n + 3)
+            text = "".join(rnd.choice("abé🙂") for _ in range(length))
+            spans = []
+            for _ in range(n if length else 0):
+                a = rnd.randrange(length)
+                spans.append((a, 0, min(length, a + rnd.randint(1, 6)), "hex"))
+            rows.append((text, sorted(spans)))
+    table = spark.createDataFrame(rows, "text string, spans array<struct<start:int,order:int,end:int,kind:string>>")
+    out = [r.red for r in table.select(secrets.redacted(F.col("text"), F.col("spans")).alias("red")).collect()]
+    for (text, spans), red in zip(rows, out, strict=True):
+        expected, at = "", 0
+        for i, (a, _, b, _) in enumerate(spans):
+            if i == 0 or a > at:
+                expected += text[at:a] + "[SECRET]"
+            at = max(at, b)
+        assert red == expected + text[at:]
+
+
+def battery_by_force(codes, k):
+    """Fisher's combination of the three tests, with the normal tail to full precision."""
+    n, mean = len(codes), sum(codes) / len(codes)
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    chi = sum(c * c for c in Counter(codes).values()) * k / n - n
+    p_chi = tail((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (1 - 1 / n)))
+    high = [c >= k / 2 for c in codes]
+    product = 2 * sum(high) * (n - sum(high))
+    spread = product * (product - n) / (n * n * (n - 1))
+    turns = sum(a != b for a, b in zip(high, high[1:], strict=False))
+    p_runs = 2 * tail(abs(turns - 1 - product / n) / math.sqrt(spread)) if spread > 0 else 0.0
+    square = sum(c * c for c in codes) - n * mean * mean
+    cross = sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:], strict=False))
+    p_serial = 2 * tail(abs(cross / square + 1 / n) * math.sqrt(n)) if square > 0 else 0.0
+    half = -sum(math.log(max(p, 1e-100)) for p in (p_chi, p_runs, p_serial))
+    return math.exp(-half) * (1 + half + half * half / 2)
+
+
+def strings_by_force(text):
+    """``(start, end, class, p)`` of the strings that are tested."""
+    def encoding(value):
+        for name, letters in secrets.ALPHABETS.items():
+            if set(value) <= set(letters) and re.search(secrets.MIXED[name], value):
+                return name
+        return None
+
+    for m in re.finditer(r"[A-Za-z0-9+/_-]{24,}", text):
+        pieces = [(m.start(), m[0])]
+        if encoding(m[0]) is None:
+            pieces = [(m.start() + p.start(), p[0]) for p in re.finditer(r"[^/+_-]+", m[0]) if len(p[0]) >= 24]
+        for at, value in pieces:
+            name = encoding(value)
+            if name:
+                codes = [secrets.ALPHABETS[name].index(c) for c in value]
+                yield at, at + len(value), f"{name}-{int(math.log2(len(value)))}", battery_by_force(codes, len(secrets.ALPHABETS[name]))
+
+
+def battery_corpus():
+    rnd = random.Random(23)
+    key = lambda n, letters: "".join(rnd.choice(letters) for _ in range(n))
+    texts = [f"x {key(rnd.randint(24, 90), letters)} y" for letters in secrets.ALPHABETS.values() for _ in range(25)]
+    texts += [f"{key(2, letters) * rnd.randint(12, 30)}." for letters in secrets.ALPHABETS.values() for _ in range(10)]
+    texts += ["aB3" * 9 + "-" + "Zz9" * 9, "a" * 23 + "B1", "A1b" * 8 + "/" * 3 + key(30, "abcdef0123456789"), "é" + key(40, "aB1"), "", None]
+    return list(enumerate(texts))
+
+
+def test_battery_equals_brute_force(spark):
+    rows = battery_corpus()
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").fillna("")
+    found = {r.doc_id: r.c for r in secrets.with_candidates(table, "text", "c").collect()}
+    seen = 0
+    for i, text in rows:
+        expected = list(strings_by_force(text or ""))
+        assert sorted((c["start"], c["end"], c["class"]) for c in found[i]) == sorted(e[:3] for e in expected)
+        for c, e in zip(sorted(found[i]), sorted(expected), strict=True):
+            assert abs(c["p"] - e[3]) < 1e-5 * max(1.0, e[3]) + 1e-6
+            seen += 1
+    assert seen > 250
+
+
+def test_false_discovery_threshold_equals_brute_force(spark):
+    rows = battery_corpus()
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    by_class = defaultdict(list)
+    for _, text in rows:
+        for _, _, name, p in strings_by_force(text or ""):
+            edge = 10 ** (-min(math.floor(-math.log10(max(p, 1e-100)) * secrets.BINS), secrets.MOST) / secrets.BINS)
+            by_class[name].append(edge)
+    for rate in (0.05, 0.5):
+        expected = {}
+        for name, edges in by_class.items():
+            passed = [e for e in edges if e <= rate * sum(x <= e for x in edges) / len(edges)]
+            if passed:
+                expected[name] = max(passed)
+        found = secrets.ordinary_below(table, rate=rate)
+        assert set(found) == set(expected) and all(abs(found[n] / expected[n] - 1) < 1e-9 for n in expected)
+
+
+def test_random_spans_inside_others_are_left_out(spark):
+    rows = battery_corpus() + [(900 + i, f"token={k} {k}") for i, k in enumerate(["aB3dE5gH7jK9mN1pQ2rS4tU6vW8xY0z"] * 3)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    limits = secrets.ordinary_below(table)
+    for r in secrets.scan(table, thresholds=limits).collect():
+        text = r.text or ""
+        base = [(a, b) for a, _, b, _ in base_spans(text)]
+        random_ = [(a, b) for a, b, name, p in strings_by_force(text) if p > limits.get(name, 0.0)]
+        random_ = [(a, b) for a, b in random_ if not any(x <= a and b <= y for x, y in base)]
+        assert [(s.start, s.end) for s in r.secret_spans if s.kind == "random"] == sorted(random_), text
+
+
 def test_random_strings_in_lower_case_and_in_parts_of_runs(spark):
     rnd = random.Random(21)
     lower, mixed = string.ascii_lowercase, string.ascii_letters + string.digits
