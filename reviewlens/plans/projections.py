@@ -85,7 +85,7 @@ FROM j""",
 )
 def normalize_reviews(spark, sf_dir):
     api = explode_pages(landed_review_pages(spark, sf_dir), "reviews")
-    api = api.withColumn("doc_key", product_of(F.col("id"), table(spark, sf_dir, "part")))
+    api = api.withColumn("doc_key", product_of(F.col("id")))
     api = api.withColumn("product_id", F.col("doc_key"))
     flat = normalize(api, products(spark, sf_dir), _source_type(), F.lit("src"), F.lit(1_762_500_000) + F.col("id"))
     return flat.withColumn("content", F.md5("content")).withColumnRenamed("content", "content_md5")
