@@ -112,7 +112,8 @@ class KeyedTable:
         """Add the first row of each key that no other batch holds; returns the rows added.
 
         Only the key columns of the table are read. Repeated, a batch adds the same rows again, in
-        place of those it added before. One process at a time may insert.
+        place of those it added before; a frame that still reads those must be made anew. One process
+        at a time may insert.
         """
         batch = batch or (uuid.uuid4().hex, 0)
         self._store(insert_new(new, self.others(batch).select(*self.keys), self.keys, order), batch)
