@@ -20,8 +20,9 @@ from reviewlens.streaming.jobs import _cached, _decoded, _start, trigger_opts
 
 #: A stored model: one row per feature; the last one is the intercept, whose frequency counts the rows learned from.
 MODEL = "cell int, weight double, slope double, df bigint"
-#: Passes over the rows at hand, rows of a step, step size.
-PASSES, STEP_ROWS, RATE = 8, 32, 0.5
+#: Passes over the rows at hand, rows of a step, step size; rows of a task, as an average of many tasks
+#: that saw few rows each learns little.
+PASSES, STEP_ROWS, RATE, TASK_ROWS = 8, 32, 0.5, 2000
 
 
 @dataclass(frozen=True)
@@ -126,7 +127,7 @@ def learn(model: OnlineModel, rows: DataFrame, stopwords: Sequence[str] | None =
                 columns = pa.array(np.arange(len(weight)), pa.int32()), pa.array(weight * seen), pa.array(slope * seen)
                 yield pa.RecordBatch.from_arrays(list(columns), names=["cell", "weight", "slope"])
 
-        parts = known.mapInArrow(run, "cell int, weight double, slope double")
+        parts = known.coalesce(-(-n // TASK_ROWS)).mapInArrow(run, "cell int, weight double, slope double")
         weight, slope = np.zeros(len(df)), np.zeros(len(df))
         for cell, w, s in parts.groupBy("cell").agg(F.sum("weight"), F.sum("slope")).collect():
             weight[cell], slope[cell] = w / n, s / n
