@@ -16,19 +16,22 @@ CHUNK = 1 << 16
 
 
 class Lines(InputPartition):
-    """The lines of ``name`` that begin in ``[first, last)``; ``number`` counts the lines before ``first``."""
+    """The lines of ``name`` that begin in ``[first, last)``; ``number`` counts the lines before ``first``,
+    ``batch`` the batches before the trigger and ``place`` the trigger's records before ``first``."""
 
-    def __init__(self, name: str, first: int, last: int, number: int):
+    def __init__(self, name: str, first: int, last: int, number: int, batch: int, place: int):
         self.name, self.first, self.last, self.number = name, first, last, number
+        self.batch, self.place = batch, place
 
 
 class LandedReader(DataSourceStreamReader):
-    """Offsets are ``{"name", "at", "line"}``: the file being read, a byte at which a line begins, and
-    the lines of this file before it. Files are taken by name; a file may not change once landed, and
-    new ones must sort after those that were read.
+    """Offsets are ``{"name", "at", "line", "batch"}``: the file being read, a byte at which a line begins,
+    the lines of this file before it, and the batches before it. Files are taken by name; a file may not
+    change once landed, and new ones must sort after those that were read.
 
-    The end of a batch is found by looking at line ends only, no more than ``max_records`` of them.
-    Executors read the lines. A restart tells the reader where the last batch ended by an empty
+    A batch has ``max_records`` records, or what is left. A trigger takes one, or up to ``batchesPerTrigger``
+    of them when more has landed; each line carries the number of its batch. The end of a trigger is found
+    by looking at line ends only, no more than the trigger's records. Executors read the lines. A restart tells the reader where the last batch ended by an empty
     range, which is how it knows where to go on.
     """
 
@@ -36,13 +39,14 @@ class LandedReader(DataSourceStreamReader):
         import pyarrow.fs as fs
 
         self.limit = int(options.get("maxrecordspertrigger", options.get("maxRecordsPerTrigger", "128")))
+        self.batches = int(options.get("batchespertrigger", options.get("batchesPerTrigger", "1")))
         self.parts = int(options.get("partitions", "4"))
         self.path = options["path"]
         self.fs, self.root = fs.FileSystem.from_uri(self.path if "://" in self.path else f"file://{self.path}")
         self.at = self.initialOffset()
 
     def initialOffset(self) -> dict:
-        return {"name": "", "at": 0, "line": 0}
+        return {"name": "", "at": 0, "line": 0, "batch": 0}
 
     def _files(self, since: str) -> list[tuple[str, int]]:
         """Names and sizes of the landed files from ``since`` on, in order."""
@@ -78,7 +82,8 @@ class LandedReader(DataSourceStreamReader):
         return f.read_at(1, size - 1)
 
     def latestOffset(self) -> dict:
-        left, at = self.limit, dict(self.at)
+        most = left = self.limit * self.batches
+        at = dict(self.at)
         for name, size in self._files(at["name"]):
             if name != at["name"]:
                 at = {"name": name, "at": 0, "line": 0}
@@ -88,29 +93,37 @@ class LandedReader(DataSourceStreamReader):
                 left -= seen
             if not left:
                 break
-        self.at = at
-        return at
+        self.at = {**at, "batch": self.at.get("batch", 0) - (left - most) // self.limit}
+        return self.at
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         self.at = end  # also on a restart, by an empty range
         found: list[InputPartition] = []
+        batch, place = start.get("batch", 0), 0
         for name, size in self._files(start["name"]):
             if name > end["name"]:
                 break
             first, line = (start["at"], start["line"]) if name == start["name"] else (0, 0)
             last = end["at"] if name == end["name"] else size
             if first < last:
-                found += self._split(name, first, last, line)
+                parts = self._split(name, first, last, line, batch, place)
+                found += parts
+                place = parts[-1].place + self._line_ends(name, parts[-1].first, self._step())[1]
         return found
 
-    def _split(self, name: str, first: int, last: int, line: int) -> list[InputPartition]:
+    def _step(self) -> int:
+        """Records of a partition: part of a batch, or whole batches if a trigger takes several."""
+        if self.batches > 1:
+            return self.limit * -(-self.batches // self.parts)
+        return max(1, -(-self.limit // self.parts))
+
+    def _split(self, name: str, first: int, last: int, line: int, batch: int, place: int) -> list[Lines]:
         """A range as a few partitions that begin with a line."""
-        step = max(1, -(-self.limit // self.parts))
         parts = []
         while first < last:
-            end, seen = self._line_ends(name, first, step)
-            parts.append(Lines(name, first, min(end, last), line))
-            first, line = end, line + seen
+            end, seen = self._line_ends(name, first, self._step())
+            parts.append(Lines(name, first, min(end, last), line, batch, place))
+            first, line, place = end, line + seen, place + seen
         return parts
 
     def read(self, partition: Lines) -> Iterator[tuple]:
@@ -119,8 +132,9 @@ class LandedReader(DataSourceStreamReader):
         lines = data.decode("utf-8", "replace").split("\n")
         if lines and lines[-1] == "":
             lines.pop()
-        for i, value in enumerate(lines, partition.number):
-            yield value, partition.name, i
+        for i, value in enumerate(lines):
+            batch = partition.batch + (partition.place + i) // self.limit
+            yield value, partition.name, partition.number + i, batch
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "fs"}
@@ -133,16 +147,16 @@ class LandedReader(DataSourceStreamReader):
 
 
 class Landed(DataSource):
-    """Format ``landed``: columns ``value``, ``file`` and ``line``; options ``path``,
-    ``maxRecordsPerTrigger`` (128) and ``partitions`` per batch (4). The folder may be local, or in a
-    store that Arrow's file systems reach."""
+    """Format ``landed``: columns ``value``, ``file``, ``line`` and ``batch``; options ``path``,
+    ``maxRecordsPerTrigger`` (128), which is the records of a batch, ``batchesPerTrigger`` (1) and
+    ``partitions`` per trigger (4). The folder may be local, or in a store that Arrow's file systems reach."""
 
     @classmethod
     def name(cls) -> str:
         return "landed"
 
     def schema(self) -> str:
-        return "value string, file string, line bigint"
+        return "value string, file string, line bigint, batch bigint"
 
     def streamReader(self, schema) -> LandedReader:
         return LandedReader(dict(self.options))

@@ -19,6 +19,8 @@ from reviewlens.operators.keyed import insert_new, last_by, new_only
 #: The partition columns, and the time of the write in microseconds.
 STREAM, BATCH, WRITTEN = "stream_id", "batch_id", "written_at"
 Batch = tuple[str, int]
+#: A write of many batches of one stream: each row names the number of its own.
+Batches = tuple[str, Column]
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -82,18 +84,19 @@ class KeyedTable:
     # writing
 
     @staticmethod
-    def _named(batch: Batch | None) -> Batch:
+    def _named(batch: Batch | Batches | None) -> Batch | Batches:
         if batch is None:
             return uuid.uuid4().hex, 0
         return hashlib.md5(batch[0].encode()).hexdigest(), batch[1]
 
-    def _store(self, rows: DataFrame, batch: Batch | None) -> None:
+    def _store(self, rows: DataFrame, batch: Batch | Batches | None) -> None:
         """Write ``rows`` as a batch. One that leaves no rows leaves what an earlier attempt wrote, so
         a batch must be made from the same input each time, as Spark's checkpoints see to."""
         stream, number = self._named(batch)
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         stamp = F.unix_micros(F.current_timestamp()).alias(WRITTEN)
-        named = rows.select(*columns, stamp, F.lit(stream).alias(STREAM), F.lit(number).cast("bigint").alias(BATCH))
+        number = number if isinstance(number, Column) else F.lit(number)
+        named = rows.select(*columns, stamp, F.lit(stream).alias(STREAM), number.cast("bigint").alias(BATCH))
         self._write(named, "overwrite", "dynamic")
 
     def upsert(self, changes: DataFrame, batch: Batch | None = None) -> None:
@@ -123,8 +126,8 @@ class KeyedTable:
         """The keys of ``changes`` that no other batch holds, each once."""
         return new_only(changes.select(*self.keys).distinct(), self.others(batch).select(*self.keys), self.keys)
 
-    def append(self, rows: DataFrame, batch: Batch | None = None) -> None:
-        """Add rows as they are, whatever their keys."""
+    def append(self, rows: DataFrame, batch: Batch | Batches | None = None) -> None:
+        """Add rows as they are, whatever their keys; as one batch, or each to the batch a column names."""
         self._store(rows, batch)
 
     def rewritten(self, path: str) -> KeyedTable:

@@ -20,7 +20,8 @@ def read_review_stream(
     jobs makes an order of it, as producers may set the time), of files one that grows with arrival.
     ``fmt`` is ``kafka`` (``source`` is the topic; pass ``kafka__bootstrap__servers`` and, for
     micro-batch size, ``maxOffsetsPerTrigger``), ``text`` (``source`` is a folder, whose files are one
-    message per line) or ``landed`` (the same folder, with ``maxRecordsPerTrigger``).
+    message per line) or ``landed`` (the same folder, with ``maxRecordsPerTrigger``; ``seq`` then has the
+    number of the record's batch, as a trigger may take several by ``batchesPerTrigger``).
     """
     if fmt == "landed":
         landed.register(spark)
@@ -30,7 +31,7 @@ def read_review_stream(
     if fmt == "kafka":
         return broker_messages(reader.option("subscribe", source).option("startingOffsets", starting).load())
     if fmt == "landed":
-        return reader.load(source).select("value", F.struct("file", "line").alias("seq"))
+        return reader.load(source).select("value", F.struct("file", "line", "batch").alias("seq"))
     file = F.col("_metadata")
     place = F.struct(
         file["file_modification_time"].alias("at"),
