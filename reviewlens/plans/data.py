@@ -110,10 +110,20 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_by(arrivals(spark, sf_dir), ["review_id"], ["crawled_at"])
 
 
+def cue() -> Column:
+    """The rating that a review's first words say, if they are a clear cue."""
+    return F.when(F.col("content").startswith("Sản phẩm tốt"), 5).when(F.col("content").startswith("Chất lượng tệ"), 1)
+
+
 def cued(reviews: DataFrame) -> DataFrame:
     """Reviews that begin with a clear cue, rated as the cue says; the others go."""
-    rating = F.when(F.col("content").startswith("Sản phẩm tốt"), 5).when(F.col("content").startswith("Chất lượng tệ"), 1)
-    return reviews.withColumn("rating", rating).filter("rating IS NOT NULL")
+    return reviews.withColumn("rating", cue()).filter("rating IS NOT NULL")
+
+
+def cued_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``cued`` of the stored reviews; texts without a cue go before the first-arrival step, so none is shuffled."""
+    slim = arrivals(spark, sf_dir).withColumn("content", F.when(cue().isNotNull(), F.col("content")))
+    return cued(first_by(slim, ["review_id"], ["crawled_at"]))
 
 
 def number() -> Column:

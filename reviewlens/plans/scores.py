@@ -10,7 +10,7 @@ from reviewlens.operators.filters import filter_content
 from reviewlens.operators.models import resolve_failures, score_with
 from reviewlens.operators.scoring import lexicon_counts, score_neutral, score_rating, score_rules
 from reviewlens.plans.catalog import query
-from reviewlens.plans.data import arrivals, cued, predictions, raw, split_predictions, table
+from reviewlens.plans.data import arrivals, cue, cued, predictions, raw, split_predictions, table
 from reviewlens.plans.oracle import (
     LABEL, NEG_V2, POS_V2, PROBA, REVIEWS, on_raw, on_reviews, on_scored, on_split, on_v1, ratings, rules,
     sql, text_rules,
@@ -150,24 +150,26 @@ def train_tfidf_lr(spark, sf_dir):
     )
 
 
-# Reviews whose rating follows from their first words: a fit that works predicts it.
+# Every review, by a model of all labelled ones. Where the first words say the rating, a model of those reviews
+# predicts the label that follows: this holds for any fit that works.
 @query(
     "predict_tfidf_lr",
     on_raw("""
-SELECT review_id, CAST(CASE WHEN content LIKE 'Sản phẩm tốt%' THEN 1 ELSE 0 END AS INT) AS pred_label,
+SELECT review_id, CAST(CASE WHEN content LIKE 'Sản phẩm tốt%' THEN 1 WHEN content LIKE 'Chất lượng tệ%' THEN 0 END AS INT) AS pred_label,
   TRUE AS sums_to_one, TRUE AS is_argmax
-FROM raw WHERE content LIKE 'Sản phẩm tốt%' OR content LIKE 'Chất lượng tệ%'"""),
+FROM raw"""),
 )
 def predict_tfidf_lr(spark, sf_dir):
-    rows = cued(raw(spark, sf_dir))
+    rows = raw(spark, sf_dir)
     total = F.aggregate("proba", F.lit(0.0), lambda s, x: s + x)
     most = F.array_position(F.col("proba"), F.array_max("proba")) - 1
-    return ml.predict(ml.train(rows), rows).select(
-        "review_id",
-        F.col("prediction").cast("int").alias("pred_label"),
+    checked = ml.predict(ml.train(rows), rows).select(
+        *rows.columns,
         (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
         (F.col("prediction").cast("int") == most).alias("is_argmax"),
     )
+    said = F.when(cue().isNotNull(), F.col("prediction").cast("int"))
+    return ml.predict(ml.train(cued(rows)), checked).select("review_id", said.alias("pred_label"), "sums_to_one", "is_argmax")
 
 
 def _labelled(spark, sf_dir):

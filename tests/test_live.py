@@ -321,3 +321,42 @@ def test_a_repeated_batch_leaves_the_same_model(spark, tmp_path):
     assert a.df[-1] == 60 and np.array_equal(a.df, b.df) and np.allclose(a.weight, b.weight)
     alone = online.load(spark, str(tmp_path / "a" / "batch=000000000"))
     assert alone.df[-1] == 20
+
+
+# many parts and many batches at once
+
+
+def test_landed_triggers_of_many_batches_keep_them_apart(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.txt").write_text("".join(f"a{i}\n" for i in range(37)))
+    (folder / "b.txt").write_text("".join(f"b{i}\n" for i in range(28)))
+    table = KeyedTable(spark, str(tmp_path / "t"), REVIEW, ["review_id"], order=None)
+    triggers = []
+
+    def apply(batch, batch_id):
+        triggers.append(batch_id)
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in REVIEW.fields if f.name != "review_id"]
+        table.append(batch.select(F.col("value").alias("review_id"), "seq", *empty), ("c", F.col("seq.batch")))
+
+    def run():
+        stream = read_review_stream(spark, "landed", str(folder), maxRecordsPerTrigger=10, batchesPerTrigger=3, partitions=2)
+        query = stream.writeStream.option("checkpointLocation", str(tmp_path / "c")).foreachBatch(apply).start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    def stored():
+        found = {}
+        for name, n in table.batches().select("review_id", "batch_id").collect():
+            found.setdefault(n, set()).add(name)
+        return found
+
+    run()
+    names = [f"a{i}" for i in range(37)] + [f"b{i}" for i in range(28)]
+    expected = {n: set(names[10 * n : 10 * n + 10]) for n in range(7)}
+    assert stored() == expected and len(set(triggers)) <= 4
+    (folder / "c.txt").write_text("".join(f"c{i}\n" for i in range(12)))
+    run()  # goes on with a new batch
+    assert stored() == expected | {7: {f"c{i}" for i in range(10)}, 8: {"c10", "c11"}}

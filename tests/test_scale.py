@@ -123,3 +123,11 @@ def test_no_query_plans_a_cross_join(spark, sf_dir):
     for name in ("table_counts", "status_snapshot", "apply_rules", "page_reviews", "matched_products", "product_search"):
         text = plan(all_queries()[name](spark, sf_dir))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_model_predicts_every_stored_review(spark, sf_dir):
+    from reviewlens.plans.data import raw
+
+    got = all_queries()["predict_tfidf_lr"](spark, sf_dir)
+    assert got.count() == raw(spark, sf_dir).count()
+    assert got.filter("NOT sums_to_one OR NOT is_argmax OR pred_label NOT IN (0, 1)").count() == 0
