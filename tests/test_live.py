@@ -379,3 +379,21 @@ def test_parts_land_in_equally_many_files(spark, tmp_path, monkeypatch):
     run = stream.writeStream.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
     run.foreachBatch(lambda batch, _: batches.append(batch.count())).start().awaitTermination()
     assert batches == [400, 2600]
+
+
+def test_caps_keep_one_state_row_list_per_key(spark, tmp_path):
+    caps.use_state_store(spark)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for n in range(3):
+        rows = [{"key": f"k{i % 2}", "at": float((i * 7919) % 1000), "id": f"r{i:04d}"} for i in range(n, 900, 3)]
+        (folder / f"{n}.json").write_text("\n".join(json.dumps(r) for r in rows * 2) + "\n")
+    stream = spark.readStream.schema("key string, at double, id string").option("maxFilesPerTrigger", 1).json(str(folder))
+    table = KeyedTable(spark, str(tmp_path / "t"), caps.CHANGES, ["key", "row_id"], order=None)
+    run = caps.start_caps(caps.cap_stream(stream, "key", F.col("at"), "id", 5), table, str(tmp_path / "c"), ONCE)
+    run.awaitTermination()
+    every = [(f"k{i % 2}", float((i * 7919) % 1000), f"r{i:04d}") for i in range(900)]
+    expected = sorted(r for k in ("k0", "k1") for r in sorted((r for r in every if r[0] == k), key=lambda r: r[1:])[:5])
+    assert sorted(map(tuple, caps.capped_rows(table).collect())) == expected
+    operators = run.recentProgress[-1].stateOperators
+    assert len(operators) == 1 and operators[0].numRowsTotal <= 2 * 5 * 2  # no state per key and salt
