@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_operators import ROWS, prose
@@ -89,6 +90,29 @@ def test_near_copies_of_pieces_are_linked(spark):
     assert set(found) == {1, 2} and found[2].removed_words > 0 and found[1].removed_words == 0
 
 
+def test_buckets_of_the_same_pieces_are_compared_once(spark):
+    """Before, a pair of pieces was compared in every band in which it met."""
+    held = {1: [10, 11], 2: [10, 11], 3: [11, 12], 4: [10, 11, 12], 5: [12, 10, 11], 6: [13], 7: [10, 12], 8: [-1, 2**63 - 1], 9: [2**63 - 1, -1]}
+    banded = spark.createDataFrame([(k, p) for k, own in held.items() for p in own], "key bigint, para bigint")
+    found = passages.different_buckets(banded).collect()
+    assert {(r.key, r.n) for r in found} == {(1, 2), (3, 2), (4, 3), (7, 2), (8, 2)}
+    assert sorted((r.key, r.para) for r in found) == sorted((k, p) for k in (1, 3, 4, 7, 8) for p in held[k])
+
+
+def test_shingle_sets_equal_sets_of_shingles():
+    rnd = random.Random(2)
+    texts = [" ".join(f"é{rnd.randrange(5)}" for _ in range(rnd.randint(1, 60))) for _ in range(300)] + ["", "a", "a b"]
+    for width in (1, 2, 5):
+        plain = [frozenset(paragraphs.shingles(t.split(" "), width)) for t in texts]
+        hashed = paragraphs.shingle_sets(pa.array(texts, pa.string()), width)
+        for i in range(len(texts)):
+            for j in range(0, i, 7):
+                if min(len(texts[i].split(" ")), len(texts[j].split(" "))) >= width or texts[i] == texts[j]:
+                    assert len(plain[i] & plain[j]) == len(hashed[i] & hashed[j])
+        assert list(map(len, plain)) == list(map(len, hashed))
+    assert paragraphs.shingle_sets(pa.array([], pa.string()), 5) == []
+
+
 def test_pieces_are_alike_whatever_surrounds_them():
     rnd = random.Random(9)
     shared = [f"s{i}" for i in range(50)]
