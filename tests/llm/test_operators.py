@@ -657,6 +657,31 @@ def test_ranking_equals_all_scores(spark, docs, monkeypatch):
     assert ranking.search_all(docs.filter("false"), lambda key: key > 0).count() == 0
 
 
+def test_ranking_of_whole_shards_equals_bounded_blocks(monkeypatch):
+    """Before, every query's block bounds were made, also where they leave out next to nothing."""
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(ranking, "COMMON", 5)
+    monkeypatch.setattr(ranking, "WIDTH", 4)
+    size = rng.integers(0, 30, 300)
+    terms = np.concatenate([rng.choice(90, n, replace=False) for n in size]) * 7 - 200
+    held = ranking.Index(np.arange(300) * 3, size, terms, rng.integers(1, 5, len(terms), dtype=np.int32), 20.0)
+    asked = [(np.sort(rng.choice(95, n, replace=False)) * 7 - 200, rng.random(n), least) for n in (0, 1, 8, 40) for least in (0.0, 1.5, 99.0)]
+    bounded = []
+    for query in asked:
+        held.scored = held.bounded = 0
+        bounded += [ranking.best(*f, 10) for f in held.search([query], 10)]
+    held.scored = held.bounded = 1
+    for (ids, scores), (other, same) in zip(bounded, [ranking.best(*f, 10) for f in held.search(asked, 10)], strict=True):
+        assert ids.tolist() == other.tolist() and np.allclose(scores, same, atol=2e-6)
+    assert held.bounded == 1 and len(bounded[-3][0]) == 10 and not len(bounded[-1][0])
+
+
+def test_ranking_deals_no_queries_to_shards(spark, docs):
+    """Before, all texts and a copy of all queries per shard were shuffled."""
+    plan = ranking.search_all(docs, lambda key: key % 10 == 0, k=5, shard=7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(query_id" in plan
+
+
 def test_pipeline_equals_its_stages_by_force(spark, tmp_path):
     import corpus_pipeline
 
