@@ -90,6 +90,23 @@ def test_near_copies_of_pieces_are_linked(spark):
     assert set(found) == {1, 2} and found[2].removed_words > 0 and found[1].removed_words == 0
 
 
+def test_pieces_of_all_anchors_are_compared(spark):
+    """Before, only sparse anchors had pieces: most near copies of about 100 words in other surroundings were missed."""
+    rnd = random.Random(77)
+    text = lambda n: [f"q{rnd.randrange(50000)}" for _ in range(n)]
+    rows = []
+    for n in range(30):
+        passage = text(99)  # with one word changed, 49 equal words on either side
+        for k in range(2):
+            own = passage if k else [*passage[:49], "changed", *passage[50:]]
+            rows.append((2 * n + k, " ".join([*text(rnd.randint(60, 160)), *own, *text(rnd.randint(60, 160))])))
+    almost = text(49)
+    rows += [(100 + n, " ".join([*text(90), *almost, *text(90)])) for n in range(12)] + [(200 + n, " ".join(text(300))) for n in range(5)]
+    found = {r.doc_id: r for r in passages.merged_ranges(passages.repeated_passages(spark.createDataFrame(rows, "doc_id int, text string"))).collect()}
+    assert set(found) <= set(range(60)) and len(found) >= 56
+    assert all(found[i].removed_words > 0 and found[i - 1].removed_words == 0 for i in found if i % 2)
+
+
 def test_buckets_of_the_same_pieces_are_compared_once(spark):
     """Before, a pair of pieces was compared in every band in which it met."""
     held = {1: [10, 11], 2: [10, 11], 3: [11, 12], 4: [10, 11, 12], 5: [12, 10, 11], 6: [13], 7: [10, 12], 8: [-1, 2**63 - 1], 9: [2**63 - 1, -1]}
